@@ -10,7 +10,7 @@ from salesloom.functions.text import strip
 
 def parse_day_first(text: Column) -> Column:
     """Read d/M/yyyy, also written with ``-`` or ``.``; anything else is NULL."""
-    return F.try_to_date(F.regexp_replace(strip(text), "[-.]", "/"), "d/M/yyyy")
+    return F.try_to_date(F.translate(strip(text), "-.", "//"), "d/M/yyyy")
 
 
 def calendar_columns(day: Column) -> list[Column]:

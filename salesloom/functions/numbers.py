@@ -10,8 +10,10 @@ from salesloom.functions.text import strip
 
 def number_text(text: Column) -> Column:
     """Digits, point and minus of a printed amount; ``(x)`` means minus x."""
-    plain = F.regexp_replace(strip(text), ",", "")
-    signed = F.regexp_replace(plain, r"^\((.+)\)$", "-$1")
+    plain = F.replace(strip(text), F.lit(","), F.lit(""))
+    in_parentheses = plain.startswith("(") & plain.endswith(")") & (F.length(plain) > 2)
+    inside = F.concat(F.lit("-"), F.substring(plain, F.lit(2), F.length(plain) - 2))
+    signed = F.when(in_parentheses, inside).otherwise(plain)
     return F.regexp_replace(signed, r"[^0-9.\-]", "")
 
 

@@ -4,33 +4,34 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Sequence
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-# The blanks a Unicode-aware strip removes, the four separators included.
-_BLANK = r"[\s\x1c-\x1f]"
+# Every character Python counts as blank, from its own rule.
+_BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.trim(text, F.lit(_BLANKS))
 
 
 def collapse_blanks(text: Column) -> Column:
-    """Every run of blanks, line breaks included, becomes one space; ends are trimmed."""
-    return F.regexp_replace(F.regexp_replace(text, rf"(?U){_BLANK}+", " "), "^ | $", "")
+    """Every run of blanks, line breaks included, becomes one space; ends are trimmed.
 
-
-def is_ascii(text: Column) -> Column:
-    return ~text.rlike(r"[^\x00-\x7F]")
+    Texts of printable ASCII without double spaces, the usual case, are only tested.
+    """
+    untidy = text.rlike(r"[^\x20-\x7E]|^ | $|  ")
+    return F.when(untidy, F.trim(F.regexp_replace(text, f"[{_BLANKS}]+", " "))).otherwise(text)
 
 
-def fold(text: str) -> str:
-    """Compatibility decomposition without the combining marks."""
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+def is_ascii(text: Column) -> Column:
+    """One byte per character."""
+    return F.octet_length(text) == F.char_length(text)
 
 
 @cache
@@ -39,7 +40,8 @@ def _fold_tables() -> tuple[str, str, str, str]:
     singles, replacements, dropped, others = [], [], [], []
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
-        folded = fold(char)
+        parts = unicodedata.normalize("NFKD", char)
+        folded = "".join(c for c in parts if not unicodedata.combining(c))
         if folded == char or 0xD800 <= code <= 0xDFFF:
             continue
         if code < 0x370 and len(folded) == 1:
@@ -55,34 +57,62 @@ def _fold_tables() -> tuple[str, str, str, str]:
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
-    pattern = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
+    listed = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges)
+    # The first half lets ASCII characters skip the long list.
+    pattern = rf"[[^\x00-\x7F]&&[{listed}]]"
     return "".join(singles), "".join(replacements), "".join(dropped), pattern
 
 
-@pandas_udf("string")
-def _fold_rest(texts: pd.Series) -> pd.Series:
-    return texts.map(fold, na_action="ignore")
+def _fold_rest(texts: Column) -> Column:
+    """NFKD without combining marks, in Arrow batches.
+
+    The function is built here so that it travels to the workers whole.
+    """
+
+    @pandas_udf("string")
+    def fold_batch(batch: pd.Series) -> pd.Series:
+        import unicodedata
+
+        def fold(text: str) -> str:
+            parts = unicodedata.normalize("NFKD", text)
+            return "".join(c for c in parts if not unicodedata.combining(c))
+
+        return batch.map(fold, na_action="ignore")
+
+    return fold_batch(texts)
 
 
-def fold_accents(text: Column) -> Column:
-    """Strip accents from whole texts.
+def fold_accents(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Strip accents from the whole texts of ``columns``.
 
-    Latin letters and combining marks are folded inside the JVM. Only texts that
-    still hold a character with a longer or non-Latin decomposition are handed to
-    Python, in Arrow batches; all other rows pass a NULL.
+    ASCII texts pass untouched. Latin letters and combining marks are folded
+    inside the JVM. Only texts that still hold a character with a longer or
+    non-Latin decomposition are handed to Python, in Arrow batches; every other
+    row passes a NULL there. Two projections, so that the JVM step is evaluated
+    once although the next one refers to it several times.
     """
     singles, replacements, dropped, others = _fold_tables()
-    native = F.translate(text, singles + dropped, replacements)
-    needs_python = native.rlike(others)
-    return F.when(needs_python, _fold_rest(F.when(needs_python, native))).otherwise(native)
+    native = {
+        c: F.when(is_ascii(F.col(c)), F.col(c)).otherwise(
+            F.translate(c, singles + dropped, replacements)
+        )
+        for c in columns
+    }
+    final = {}
+    for c in columns:
+        unfinished = ~is_ascii(F.col(c)) & F.col(c).rlike(others)
+        rest = _fold_rest(F.when(unfinished, F.col(c)))
+        final[c] = F.when(unfinished, rest).otherwise(F.col(c))
+    return df.withColumns(native).withColumns(final)
 
 
 def proper_case(text: Column) -> Column:
     """Upper-case the letter after any non-letter and lower-case the rest; ASCII texts only.
 
-    ``initcap`` starts a word only after a space, so a marked space is put
-    before every other word start and taken out again.
+    ``initcap`` starts a word only after a space. Where another character starts
+    one, a marked space is put before it and taken out again.
     """
     marked = F.regexp_replace(text, "([^A-Za-z ])(?=[A-Za-z])", "$1\u0001 ")
-    titled = F.regexp_replace(F.initcap(marked), "\u0001 ", "")
-    return F.when(is_ascii(text), titled).otherwise(text)
+    inner_start = text.rlike("[^A-Za-z ][A-Za-z]")
+    titled = F.when(inner_start, F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit("")))
+    return F.when(is_ascii(text), titled.otherwise(F.initcap(text))).otherwise(text)
