@@ -14,6 +14,8 @@ from pyspark.sql.functions import pandas_udf
 
 # Every character Python counts as blank, from its own rule.
 _BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+# Printable characters leave the class at its first half.
+_BLANK_RUN = rf"[[^\x21-\x7E]&&[{_BLANKS}]]+"
 
 
 def strip(text: Column) -> Column:
@@ -26,7 +28,7 @@ def collapse_blanks(text: Column) -> Column:
     Texts of printable ASCII without double spaces, the usual case, are only tested.
     """
     untidy = text.rlike(r"[^\x20-\x7E]|^ | $|  ")
-    return F.when(untidy, F.trim(F.regexp_replace(text, f"[{_BLANKS}]+", " "))).otherwise(text)
+    return F.when(untidy, F.trim(F.regexp_replace(text, _BLANK_RUN, " "))).otherwise(text)
 
 
 def is_ascii(text: Column) -> Column:
