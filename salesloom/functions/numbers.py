@@ -14,7 +14,7 @@ def number_text(text: Column) -> Column:
     in_parentheses = plain.startswith("(") & plain.endswith(")") & (F.length(plain) > 2)
     inside = F.concat(F.lit("-"), F.substring(plain, F.lit(2), F.length(plain) - 2))
     signed = F.when(in_parentheses, inside).otherwise(plain)
-    return F.regexp_replace(signed, r"[^0-9.\-]", "")
+    return F.regexp_replace(signed, r"[^\d.\-]", "")
 
 
 def parse_number(text: Column, sql_type: str) -> Column:

@@ -114,7 +114,7 @@ def proper_case(text: Column) -> Column:
     ``initcap`` starts a word only after a space. Where another character starts
     one, a marked space is put before it and taken out again.
     """
-    marked = F.regexp_replace(text, "([^A-Za-z ])(?=[A-Za-z])", "$1\u0001 ")
-    inner_start = text.rlike("[^A-Za-z ][A-Za-z]")
+    marked = F.regexp_replace(text, r"([^ \p{Alpha}])(?=\p{Alpha})", "$1\u0001 ")
+    inner_start = text.rlike(r"[^ \p{Alpha}]\p{Alpha}")
     titled = F.when(inner_start, F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit("")))
     return F.when(is_ascii(text), titled.otherwise(F.initcap(text))).otherwise(text)

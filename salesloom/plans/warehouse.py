@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.operators import hierarchy as H
+from salesloom.operators.cleaning import clean
 from salesloom.operators.numbering import file_line
 from salesloom.plans import views as V
 from salesloom.schemas import TABLES
@@ -59,6 +60,7 @@ class Warehouse(Mapping[str, DataFrame]):
         }
         if raw is not None:
             self._builders["raw_sales"] = raw
+            self._builders["clean_sales"] = lambda: clean(self["raw_sales"])
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._ready:

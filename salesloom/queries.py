@@ -26,7 +26,7 @@ from salesloom.schemas import (
     TEXT_COLUMNS,
 )
 from salesloom.sources import csv_files, tables
-from salesloom.sources.storage import fresh_path, materialize
+from salesloom.sources.storage import fresh_path, materialize, spread
 from salesloom.sources.testdata import with_repeated_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,7 @@ def query(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], Data
 def query_on_documents(build: Callable[[DataFrame], DataFrame]) -> Callable:
     """Register a query that reads the documents table only."""
     QUERIES[build.__name__] = lambda spark, sf_dir: build(
-        spark.read.parquet(f"{sf_dir}/documents.parquet")
+        spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     )
     return build
 
@@ -78,7 +78,7 @@ def a_csv_roundtrip(w):
 @query
 def a_typed_load(w):
     path = fresh_path(w.spark, "clean_csv")
-    csv_files.write_csv(B.clean(w["raw_sales"]), path)
+    csv_files.write_csv(w["clean_sales"], path)
     return csv_files.load_typed(csv_files.read_raw_csv(w.spark, path, multi_line=False))
 
 
@@ -288,7 +288,7 @@ def c_id_name_conflicts(w):
 
 @query
 def c_audit_compare(w):
-    return C.compare_audits(w["raw_sales"], B.clean(w["raw_sales"]))
+    return C.compare_audits(w["raw_sales"], w["clean_sales"])
 
 
 @query

@@ -41,3 +41,15 @@ def write_and_read(df: DataFrame, path: str, mode: str = "errorifexists") -> Dat
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     return write_and_read(df, fresh_path(df.sparkSession, label))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan over the cores when it has fewer splits than cores.
+
+    Only an input too small to fill the cluster is shuffled; a large one has far
+    more splits than cores and is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)

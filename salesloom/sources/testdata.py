@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.schemas import MONEY, PROFIT, RATE, RAW, STAGING
+from salesloom.sources.storage import spread
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,7 +20,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     under ``spark.sql.autoBroadcastJoinThreshold``.
     """
     return (
-        _read(spark, sf_dir, "lineitem")
+        spread(_read(spark, sf_dir, "lineitem"))
         .join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
