@@ -127,10 +127,13 @@ def seeded_sample(df: DataFrame, key: Sequence[str], rows: int = 100, seed: int
 
 
 def unique_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value): the distinct values of the text columns, blanks collapsed."""
+    """(column, value): the sorted distinct values of the text columns, blanks collapsed."""
     tidied = df.select(*[collapse_blanks(F.col(c)).alias(c) for c in columns])
     return (
-        tidied.unpivot([], list(columns), "column", "value").where("value is not null").distinct()
+        tidied.unpivot([], list(columns), "column", "value")
+        .where("value is not null")
+        .distinct()
+        .orderBy("column", "value")
     )
 
 

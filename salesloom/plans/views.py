@@ -22,8 +22,8 @@ FACT_ORDER = [
 ]
 
 
-def geography(tables: Tables) -> DataFrame:
-    """State key with the names and keys of its whole path; small against the fact."""
+def join_geography(tables: Tables) -> DataFrame:
+    """State key with the names and keys of its whole path."""
     return (
         tables["dim_state"]
         .join(tables["dim_country"], "country_id")
@@ -32,7 +32,7 @@ def geography(tables: Tables) -> DataFrame:
     )
 
 
-def product_path(tables: Tables) -> DataFrame:
+def join_products(tables: Tables) -> DataFrame:
     """Product key with its sub-category and category."""
     return (
         tables["dim_product"]
@@ -41,6 +41,21 @@ def product_path(tables: Tables) -> DataFrame:
     )
 
 
+def geography(tables: Tables) -> DataFrame:
+    """The joined geography, from its written table if there is one.
+
+    Spark knows the size of a written table and so broadcasts it when it is
+    small; its estimate for a join of four tables is their product, which would
+    make it shuffle the fact by state.
+    """
+    return tables["flat_geography"] if "flat_geography" in tables else join_geography(tables)
+
+
+def product_path(tables: Tables) -> DataFrame:
+    """The joined products, from their written table if there is one."""
+    return tables["flat_product"] if "flat_product" in tables else join_products(tables)
+
+
 def load_fact(staging: DataFrame, tables: Tables, first: str, last: str) -> DataFrame:
     """Fact rows without key: staging rows whose date is in range and whose members all exist.
 

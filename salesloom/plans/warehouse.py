@@ -54,6 +54,8 @@ class Warehouse(Mapping[str, DataFrame]):
                 self["category_keys"], "sub_category", "category"
             ),
             "dim_product": self._dim_product,
+            "flat_geography": lambda: V.join_geography(self),
+            "flat_product": lambda: V.join_products(self),
             "fact_sales": self._fact_sales,
             "vw_sales_full": lambda: V.sales_full(self),
             "vw_sales_summary": lambda: V.sales_summary(self),
@@ -70,6 +72,9 @@ class Warehouse(Mapping[str, DataFrame]):
             self._ready[name] = materialize(built, name)
         return self._ready[name]
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
 

@@ -774,7 +774,7 @@ def h_union_distinct(w):
 
 
 def _with(w: Warehouse, **changed: DataFrame) -> dict[str, DataFrame]:
-    names = [*STORED, "vw_sales_full", "vw_sales_summary"]
+    names = [*STORED, "flat_geography", "flat_product", "vw_sales_full", "vw_sales_summary"]
     return {name: changed[name] if name in changed else w[name] for name in names}
 
 
