@@ -118,3 +118,12 @@ def proper_case(text: Column) -> Column:
     inner_start = text.rlike(r"[^ \p{Alpha}]\p{Alpha}")
     titled = F.when(inner_start, F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit("")))
     return F.when(is_ascii(text), titled.otherwise(F.initcap(text))).otherwise(text)
+
+
+def ignore_case_and_accents(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Make ``columns`` compare without regard to case and accents.
+
+    Every later join, grouping and distinct on them follows, for data that was
+    loaded under such a rule before. The default is exact comparison.
+    """
+    return df.withColumns({c: F.collate(c, "UNICODE_CI_AI") for c in columns})

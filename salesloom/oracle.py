@@ -81,7 +81,8 @@ FROM (SELECT product_id AS raw_product_id, product_name, category, sub_category,
 WHERE pick = 1""")
 
 _part("cal", "", """
-SELECT CAST(d AS DATE) AS date_id, year(d) AS year, quarter(d) AS quarter, month(d) AS month,
+SELECT CAST(d AS DATE) AS date_id, CAST(year(d) AS INT) AS year,
+       CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month,
        monthname(d) AS month_name
 FROM range(TIMESTAMP '1996-01-01', TIMESTAMP '2001-01-01', INTERVAL 1 DAY) t(d)""")
 

@@ -86,22 +86,22 @@ def monthly_trend(view: DataFrame) -> DataFrame:
     )
 
 
-def _share_of_all(totals: DataFrame, column: str) -> Column:
-    """Share in the sum over the (few, already grouped) rows of ``totals``."""
-    return ratio(F.col(column), F.sum(column).over(Window.partitionBy()), 2, 100)
-
-
 def category_share(view: DataFrame) -> DataFrame:
-    """Contribution of each category to sales and profit."""
+    """Contribution of each category to sales and profit; the whole is a scalar subquery."""
     totals = view.groupBy("category_name").agg(
         F.sum("sales").alias("sales"), F.sum("profit").alias("profit")
     )
+
+    def share(column: str) -> Column:
+        whole = totals.agg(F.sum(column)).scalar()
+        return ratio(F.col(column), whole, 2, 100).alias(f"{column}_share_pct")
+
     return totals.select(
         "category_name",
         money(F.col("sales")).alias("total_sales"),
         money(F.col("profit")).alias("total_profit"),
-        _share_of_all(totals, "sales").alias("sales_share_pct"),
-        _share_of_all(totals, "profit").alias("profit_share_pct"),
+        share("sales"),
+        share("profit"),
     )
 
 

@@ -15,7 +15,6 @@ from salesloom.functions.text import collapse_blanks, fold_accents, is_ascii, pr
 from salesloom.operators import cleaning as B
 from salesloom.operators import hierarchy as H
 from salesloom.operators import profiling as C
-from salesloom.operators.reconcile import missing_from, side_counts
 from salesloom.plans import analytics as K
 from salesloom.plans import dashboard as L
 from salesloom.plans import quality as J

@@ -6,6 +6,7 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
+from salesloom.functions.text import ignore_case_and_accents
 from salesloom.plans import analytics, quality, views
 from salesloom.plans.warehouse import Warehouse
 from salesloom.schemas import STAGING
@@ -151,3 +152,16 @@ def test_sketch_counts_orders_across_groups(sound):
 def test_tables_are_read_back_without_lineage(sound):
     plan = sound["fact_sales"]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("\n") <= 1 and "parquet" in plan
+
+
+def test_spellings_can_be_one_member(spark):
+    rows = [line("O1", 1), line("O2", 2, customer_name="ÁL"), line("O3", 3, customer_name="al")]
+    staging = spark.createDataFrame(rows, STAGING)
+    exact = Warehouse(spark, lambda: staging, ("2011-01-01", "2020-12-31"))
+    assert exact["dim_customer"].count() == 3
+    loose = Warehouse(
+        spark,
+        lambda: ignore_case_and_accents(staging, ["customer_name"]),
+        ("2011-01-01", "2020-12-31"),
+    )
+    assert loose["dim_customer"].count() == 1 and loose["fact_sales"].count() == 3
