@@ -91,7 +91,7 @@ class IdEncoder:
         self.memory = Memory()
 
     def _learn(self, parts: list[str]) -> dict[str, bytes]:
-        ids = np.asarray(self.tokenizer.encode_fast("".join(parts), add_special_tokens=False).ids)
+        ids = np.asarray(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids)
         ends = np.cumsum(self.lengths[ids])
         stops = np.cumsum([len(p.encode()) for p in parts])
         at = np.searchsorted(ends, stops) + 1

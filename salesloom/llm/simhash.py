@@ -155,7 +155,7 @@ def near_duplicates(
     """
     kept = [c for c in docs.columns if c not in ("fingerprint", "component_id")]
     marked = docs.select(*kept, fingerprint(words)(utf8(F.col(text_col))).alias("fingerprint"))
-    return attach_components(stage(marked, "fingerprints"), id_col, radius)
+    return attach_components(stage(marked, "fingerprints"), id_col, radius).drop("component_root")
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
@@ -164,23 +164,25 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     Of repeated rows with that id the one with the smallest text stays. A component whose ids are
     all NULL keeps one row, too. The columns stay as they are; texts compare as in ``near_duplicates``.
     """
-    names = {n: unused(docs.columns, n) for n in ("fingerprint", "component_id")}
+    names = {n: unused(docs.columns, n) for n in ("fingerprint", "component_id", "component_root")}
     plain = docs.select(*docs.columns, fingerprint(words)(utf8(F.col(text_col))).alias(names["fingerprint"]))
     marked = attach_components(
-        stage(plain, "fingerprints"), id_col, radius, fingerprint=names["fingerprint"], component=names["component_id"]
-    )
+        stage(plain, "fingerprints"), id_col, radius, fingerprint=names["fingerprint"],
+        component=names["component_id"], root=names["component_root"],
+    )
     first = marked.filter(F.col(id_col).eqNullSafe(F.col(names["component_id"])))
     # What is left is one row per component, and repetitions of it.
-    root, turn = unused(marked.columns, "component_root"), unused(marked.columns, "turn")
+    root, turn = names["component_root"], unused(marked.columns, "turn")
     order = Window.partitionBy(root).orderBy(text_col)
     return first.withColumn(turn, F.row_number().over(order)).filter(F.col(turn) == 1).select(*docs.columns)
 
 
 def attach_components(
-    marked: DataFrame, id_col: str, radius: int, *, fingerprint: str = "fingerprint", component: str = "component_id"
-) -> DataFrame:
-    """Add the component's id, and ``component_root``, one fingerprint of it; reads ``marked`` twice."""
-    node, root = unused(marked.columns, "node"), unused(marked.columns, "component_root")
+    marked: DataFrame, id_col: str, radius: int, *, fingerprint: str = "fingerprint",
+    component: str = "component_id", root: str = "component_root",
+) -> DataFrame:
+    """Add the component's id, and ``root``, one fingerprint of it; reads ``marked`` twice."""
+    node = unused([*marked.columns, root, component], "node")
     prints = stage(marked.groupBy(F.col(fingerprint).alias("fp")).agg(F.min(id_col).alias("first")), "prints")
     roots = stage(connected_components(fingerprint_links(prints.select("fp"), radius)), "roots")
     placed = prints.join(roots, prints.fp == roots.node, "left").select(

@@ -97,6 +97,14 @@ def _probes(shares: list[int]) -> list[tuple[int, int]]:
     return found
 
 
+def _in_buckets(coded: DataFrame, probes: list[tuple[int, int]]) -> DataFrame:
+    """A row per probe: ``bucket`` is the substring's number and its value with some bits flipped."""
+    listed = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.lit(flip).alias("flip")) for j, flip in probes]))
+    value = F.expr(f"shiftrightunsigned(code, probe.j * {WIDTH}) & {(1 << WIDTH) - 1} ^ probe.flip")
+    rows = coded.withColumn("probe", listed)
+    return rows.withColumn("bucket", value + F.expr(f"shiftleft(probe.j, {WIDTH})")).drop("probe")
+
+
 def _compare(k: int, shares: list[int] | None, radius: int):
     """Per bucket: each query's k nearest members within the radius that this substring finds first."""
 
@@ -131,9 +139,9 @@ def _matched(members: DataFrame, queries: DataFrame, k: int, shares: list[int] |
     # One row per bucket: at most PARTS * 2**WIDTH, or the blocks of a full scan.
     both = stage(portions(members, "m").join(portions(queries, "q"), "bucket"), "portions")
     left = members.join(both, "bucket").withColumn("mp", F.pmod(F.xxhash64("vec_id"), "m"))
-    left = left.withColumn("qp", F.explode(F.sequence(F.lit(0), F.col("q") - 1)).cast("long"))
+    left = left.withColumn("qp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("q").cast("long") - 1)))
     right = queries.join(both, "bucket").withColumn("qp", F.pmod(F.xxhash64("query_id"), "q"))
-    right = right.withColumn("mp", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).cast("long"))
+    right = right.withColumn("mp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m").cast("long") - 1)))
     keys = ["bucket", "mp", "qp"]
     left, right = left.select(*keys, "vec_id", "code", "vector"), right.select(*keys, "query_id", "code", "vector")
     compared = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
@@ -175,16 +183,13 @@ def nearest(
     asked = prepared(queries).filter(F.size("vector") == size).withColumnRenamed("vec_id", "query_id")
     asked = stage(asked.withColumn("code", _code_of(codes)("vector")), "queries")
     shares = codes.shares()
-    part = lambda j: F.shiftrightunsigned(F.col("code"), j * WIDTH).bitwiseAND((1 << WIDTH) - 1)
-    buckets = F.array(*[part(j) + F.lit(j << WIDTH) for j in range(PARTS) if shares[j] >= 0])
-    probes = F.array(*[part(j).bitwiseXOR(F.lit(flip)) + F.lit(j << WIDTH) for j, flip in _probes(shares)])
-    members = coded.withColumn("bucket", F.explode(buckets))
-    found = _matched(members, asked.withColumn("bucket", F.explode(probes)), k, shares, codes.radius)
+    own = [(j, 0) for j in range(PARTS) if shares[j] >= 0]
+    found = _matched(_in_buckets(coded, own), _in_buckets(asked, _probes(shares)), k, shares, codes.radius)
     enough = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
     short = stage(asked.join(enough, "query_id", "left_anti"), "short-queries")
     blocks = max(1, coded.count() // MEMBERS)
-    spread = coded.withColumn("bucket", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    every = short.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+    spread = coded.withColumn("bucket", F.pmod(F.xxhash64("vec_id"), F.lit(blocks).cast("long")))
+    every = short.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     rest = _matched(spread, every, k, None, BITS)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.join(short.select("query_id"), "query_id", "left_anti").union(rest)
