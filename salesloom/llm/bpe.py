@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import utf8
+from salesloom.llm.common import bounded_batches, utf8
 from salesloom.llm.tokenizing import Memory, cut, missing, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -186,5 +186,6 @@ def encode_documents(
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
             yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"))
     return rows.mapInArrow(run, schema)

@@ -13,6 +13,8 @@ from salesloom.sources.storage import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_BYTES = 8 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -45,6 +47,17 @@ def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep batches of long texts small: 8 MB to Python at a time, unless the session asks for less.
+
+    The number of rows, Spark's own limit, says nothing about texts of very different length. The
+    setting stays with the session, as results are computed after an operator has returned.
+    """
+    now = spark.conf.get(_BATCH, "-1")
+    if not now.isdigit() or not 0 < int(now) <= _BATCH_BYTES:
+        spark.conf.set(_BATCH, str(_BATCH_BYTES))
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, and frees its shuffles."""
     with short_lived_shuffles(df.sparkSession):

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from salesloom.llm.common import utf8
+from salesloom.llm.common import bounded_batches, utf8
 
 PASSAGE = 512  # bytes
 SAMPLE = 4000  # labelled documents to learn from, at most
@@ -190,6 +190,7 @@ def train(
     labels have their mean; NULL labels and labels without a document teach nothing. Only features
     of the sample's passages come to the driver.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("double").alias("y"))
     known = known.filter(F.col("y").isNotNull() & ~held_out(F.col("k")) & F.col("k").isNotNull())
     known = known.groupBy("k").agg(F.avg("y").alias("y"))

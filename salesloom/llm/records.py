@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from salesloom.llm.common import short_lived_shuffles, stage, utf8
+from salesloom.llm.common import bounded_batches, short_lived_shuffles, stage, utf8
 from salesloom.llm.tokenizing import Memory, cut, missing, slices
 from salesloom.sources.storage import fresh_path
 
@@ -156,6 +156,7 @@ def write_records(
             ]
             yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["record"])
 
+    bounded_batches(docs.sparkSession)
     text = utf8(F.col(text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
@@ -172,6 +173,8 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
     of all records before, ``ids_crc32`` is of the ids as little-endian unsigned 32-bit integers.
     """
 
+    bounded_batches(spark)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column("file"), batch.column("content"), strict=True):

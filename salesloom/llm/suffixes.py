@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import stage, utf8
+from salesloom.llm.common import bounded_batches, stage, utf8
 
 LENGTH = 200
-CHUNK = 2 << 20  # bytes of text named by one task at a time; a longer text is a chunk of its own
+CHUNK = 1 << 20  # bytes of text named by one task at a time; a longer text is a chunk of its own
 PART = 8 << 20  # bytes of names sorted by one task
 SHARE = 0.7  # bytes of names that one bucket may take, per byte of text
 _BLOCK = 1 << 19
@@ -235,6 +235,7 @@ def repeated_substrings(
     """
     if length < PERIOD:
         raise ValueError(f"length must be {PERIOD} or more")
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"))
     packed = texts.mapInArrow(_pack, "ids array<long>, lengths array<long>, data binary")
     chunks = stage(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")

@@ -15,12 +15,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 from pyspark.sql.pandas.functions import pandas_udf
 
-from salesloom.llm.common import stage
+from salesloom.llm.common import bounded_batches, stage
 
 BITS = 64
 PARTS = 8
@@ -105,30 +105,72 @@ def _in_buckets(coded: DataFrame, probes: list[tuple[int, int]]) -> DataFrame:
     return rows.withColumn("bucket", value + F.expr(f"shiftleft(probe.j, {WIDTH})")).drop("probe")
 
 
+def _best_of_bucket(rows: dict[str, np.ndarray], k: int, shares: list[int] | None, radius: int) -> list[tuple]:
+    """Each query's k nearest members within the radius that this bucket's substring finds first."""
+    found: list[tuple] = []
+    member = rows["query"] == 0
+    ids, codes, vectors = (rows[c][member] for c in ("id", "code", "vector"))
+    asked, asked_codes, asked_vectors = (rows[c][~member] for c in ("id", "code", "vector"))
+    if not len(ids) or not len(asked):
+        return found
+    here = 0 if shares is None else int(rows["bucket"][0]) >> WIDTH
+    step = max(1, _PAIRS // len(ids))
+    for start in range(0, len(asked), step):
+        differ = asked_codes[start : start + step, None] ^ codes[None, :]
+        near = (np.bitwise_count(differ) <= radius) & (asked[start : start + step, None] != ids[None, :])
+        at_query, at_member = np.nonzero(near)
+        if here:  # pairs that an earlier substring finds too are left to that one
+            bits = np.bitwise_count(differ[at_query, at_member].view(np.uint8).reshape(-1, PARTS))
+            mine = (bits[:, :here] > np.array(shares[:here])).all(axis=1)
+            at_query, at_member = at_query[mine], at_member[mine]
+        far = np.empty(len(at_query))
+        for part in range(0, len(far), _PAIRS // 16):
+            some = slice(part, part + _PAIRS // 16)
+            apart = vectors[at_member[some]] - asked_vectors[start + at_query[some]]
+            far[some] = np.sqrt((apart * apart).sum(axis=1))
+        order = np.lexsort((ids[at_member], far, at_query))
+        at_query, at_member, far = at_query[order], at_member[order], far[order]
+        place = np.arange(len(order)) - np.searchsorted(at_query, at_query)
+        best = place < k
+        found.append((asked[start + at_query[best]], ids[at_member[best]], far[best]))
+    return found
+
+
 def _compare(k: int, shares: list[int] | None, radius: int):
-    """Per bucket: each query's k nearest members within the radius that this substring finds first."""
-
-    def run(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(members) and len(queries):
-            vectors, codes = np.stack(members["vector"]), members["code"].to_numpy()
-            ids = members["vec_id"].to_numpy()
-            asked, asked_codes = np.stack(queries["vector"]), queries["code"].to_numpy()
-            asked_ids = queries["query_id"].to_numpy()
-            here = None if shares is None else int(members["bucket"].iloc[0]) >> WIDTH
-            step = max(1, _PAIRS // len(members))
-            for start in range(0, len(queries), step):
-                differ = asked_codes[start : start + step, None] ^ codes[None, :]
-                near = (np.bitwise_count(differ) <= radius) & (asked_ids[start : start + step, None] != ids[None, :])
-                for row in np.flatnonzero(near.any(axis=1)):
-                    at = np.flatnonzero(near[row])
-                    if here:  # pairs that an earlier substring finds too are left to that one
-                        bits = np.bitwise_count(np.ascontiguousarray(differ[row, at]).view(np.uint8).reshape(-1, PARTS))
-                        at = at[(bits[:, :here] > np.array(shares[:here])).all(axis=1)]
-                    far = np.sqrt(((vectors[at] - asked[start + row]) ** 2).sum(axis=1))
-                    best = np.lexsort((ids[at], far))[:k]
-                    found += [(int(asked_ids[start + row]), int(ids[i]), float(d)) for i, d in zip(at[best], far[best], strict=True)]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+    """Over rows sorted by bucket and portion: compare the members and queries of each."""
+    keys = ["bucket", "mp", "qp"]
+    plain = [*keys, "query", "id", "code"]
+
+    def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in plain}
+        flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
+        return out | {"vector": flat.reshape(batch.num_rows, -1)}
+
+    def answer(found: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0)] * 3
+        kinds = [pa.int64(), pa.int64(), pa.float64()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds, strict=True)], ["query_id", "vec_id", "score"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: dict[str, np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = arrays(batch)
+            if rest is not None:
+                rows = {c: np.concatenate([rest[c], rows[c]]) for c in rows}
+            new = np.zeros(len(rows["id"]), dtype=bool)
+            for c in keys:
+                new[1:] |= rows[c][1:] != rows[c][:-1]
+            cuts, found = [0, *np.flatnonzero(new).tolist()], []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                found += _best_of_bucket({c: v[a:b] for c, v in rows.items()}, k, shares, radius)
+            rest = {c: v[cuts[-1] :] for c, v in rows.items()}
+            yield answer(found)
+        if rest is not None:
+            yield answer(_best_of_bucket(rest, k, shares, radius))
 
     return run
 
@@ -143,8 +185,9 @@ def _matched(members: DataFrame, queries: DataFrame, k: int, shares: list[int] |
     right = queries.join(both, "bucket").withColumn("qp", F.pmod(F.xxhash64("query_id"), "q"))
     right = right.withColumn("mp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m").cast("long") - 1)))
     keys = ["bucket", "mp", "qp"]
-    left, right = left.select(*keys, "vec_id", "code", "vector"), right.select(*keys, "query_id", "code", "vector")
-    compared = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+    row = lambda df, side, name: df.select(*keys, F.lit(side).alias("query"), F.col(name).alias("id"), "code", "vector")
+    both = row(left, 0, "vec_id").union(row(right, 1, "query_id"))
+    compared = both.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
         _compare(k, shares, radius), "query_id long, vec_id long, score double"
     )
     return stage(compared, "candidates")
@@ -172,6 +215,7 @@ def nearest(
         rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
         return rows.filter(usable(F.col("vector")) & F.col("vec_id").isNotNull()).distinct()
 
+    bounded_batches(vectors.sparkSession)
     base = prepared(vectors)
     sizes = base.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"))
     top = sizes.orderBy(F.desc("n"), "d").first()
