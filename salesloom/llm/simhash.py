@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from salesloom.llm.common import stage, unused, utf8
+from salesloom.llm.common import bounded_batches, stage, unused, utf8
 from salesloom.llm.components import connected_components
 
 BITS = 64
@@ -153,6 +153,7 @@ def near_duplicates(
     NULL id get the component's id, NULL where no row of it has one. Repeated rows stay repeated;
     an empty table gives no rows. Columns of ``docs`` with those two names are replaced.
     """
+    bounded_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("fingerprint", "component_id")]
     marked = docs.select(*kept, fingerprint(words)(utf8(F.col(text_col))).alias("fingerprint"))
     return attach_components(stage(marked, "fingerprints"), id_col, radius).drop("component_root")
@@ -164,6 +165,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     Of repeated rows with that id the one with the smallest text stays. A component whose ids are
     all NULL keeps one row, too. The columns stay as they are; texts compare as in ``near_duplicates``.
     """
+    bounded_batches(docs.sparkSession)
     names = {n: unused(docs.columns, n) for n in ("fingerprint", "component_id", "component_root")}
     plain = docs.select(*docs.columns, fingerprint(words)(utf8(F.col(text_col))).alias(names["fingerprint"]))
     marked = attach_components(
