@@ -43,13 +43,17 @@ def whole_number_text(amount: Column) -> Column:
     return F.format_number(F.round(amount, 0), 0)
 
 
+def _printed(amount: Column) -> Column:
+    return F.when(amount.isNotNull(), F.format_string("%.6f", amount.cast("double")))
+
+
 def integer_digits(amount: Column) -> Column:
     """Number of digits before the point."""
-    text = F.format_string("%.6f", amount.cast("double"))
+    text = _printed(amount)
     return F.length(F.replace(F.split_part(text, F.lit("."), F.lit(1)), F.lit("-"), F.lit("")))
 
 
 def decimal_digits(amount: Column) -> Column:
     """Number of digits after the point, trailing zeros not counted, six at most."""
-    text = F.format_string("%.6f", amount.cast("double"))
+    text = _printed(amount)
     return F.length(F.rtrim(F.split_part(text, F.lit("."), F.lit(2)), F.lit("0")))

@@ -7,13 +7,12 @@ import unicodedata
 from collections.abc import Sequence
 from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 # Every character Python counts as blank, from its own rule.
 _BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+_HANGUL, _SYLLABLES = 0xAC00, 11172
 # Printable characters leave the class at its first half.
 _BLANK_RUN = rf"[[^\x21-\x7E]&&[{_BLANKS}]]+"
 
@@ -37,24 +36,30 @@ def is_ascii(text: Column) -> Column:
 
 
 @cache
-def _fold_tables() -> tuple[str, str, str, str]:
-    """(letters, their single replacements, dropped marks, pattern of everything else that folds)."""
-    singles, replacements, dropped, others = [], [], [], []
+def _fold_tables() -> tuple[str, str, dict[str, str], str]:
+    """(letters, their single replacements, longer replacements, pattern of the letters that have them).
+
+    Letters that fold to nothing stand at the end of the first text, beyond the second.
+    Hangul syllables are left to a rule.
+    """
+    singles, replacements, dropped, longer = [], [], [], {}
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
+        if 0xD800 <= code <= 0xDFFF or _HANGUL <= code < _HANGUL + _SYLLABLES:
+            continue
         parts = unicodedata.normalize("NFKD", char)
         folded = "".join(c for c in parts if not unicodedata.combining(c))
-        if folded == char or 0xD800 <= code <= 0xDFFF:
+        if folded == char:
             continue
-        if code < 0x370 and len(folded) == 1:
+        if not folded:
+            dropped.append(char)
+        elif len(folded) == 1:
             singles.append(char)
             replacements.append(folded)
-        elif code < 0x370 and not folded:
-            dropped.append(char)
         else:
-            others.append(code)
-    ranges: list[list[int]] = []
-    for code in others:
+            longer[char] = folded
+    ranges: list[list[int]] = [[_HANGUL, _HANGUL + _SYLLABLES - 1]]
+    for code in sorted(map(ord, longer)):
         if ranges and ranges[-1][1] == code - 1:
             ranges[-1][1] = code
         else:
@@ -62,49 +67,49 @@ def _fold_tables() -> tuple[str, str, str, str]:
     listed = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges)
     # The first half lets ASCII characters skip the long list.
     pattern = rf"[[^\x00-\x7F]&&[{listed}]]"
-    return "".join(singles), "".join(replacements), "".join(dropped), pattern
+    return "".join(singles + dropped), "".join(replacements), longer, pattern
 
 
-def _fold_rest(texts: Column) -> Column:
-    """NFKD without combining marks, in Arrow batches.
+def _syllable(char: Column) -> Column:
+    """A Hangul syllable as its two or three letters; NULL for any other character."""
+    number = F.ascii(char) - _HANGUL
 
-    The function is built here so that it travels to the workers whole.
-    """
+    def letter(first: int, count: int, index: Column) -> Column:
+        letters = F.split(F.lit("".join(chr(first + i) for i in range(count))), "(?!^)")
+        return F.element_at(letters, (index + 1).cast("int"))
 
-    @pandas_udf("string")
-    def fold_batch(batch: pd.Series) -> pd.Series:
-        import unicodedata
-
-        def fold(text: str) -> str:
-            parts = unicodedata.normalize("NFKD", text)
-            return "".join(c for c in parts if not unicodedata.combining(c))
-
-        return batch.map(fold, na_action="ignore")
-
-    return fold_batch(texts)
+    tail = number % 28
+    end = F.when(tail == 0, "").otherwise(letter(0x11A8, 27, F.greatest(tail - 1, F.lit(0))))
+    parts = F.concat(letter(0x1100, 19, F.floor(number / 588)), letter(0x1161, 21, F.floor(number % 588 / 28)), end)
+    return F.when((number >= 0) & (number < _SYLLABLES), parts)
 
 
 def fold_accents(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Strip accents from the whole texts of ``columns``.
+    """Strip accents from the whole texts of ``columns``: NFKD without combining marks.
 
-    ASCII texts pass untouched. Latin letters and combining marks are folded
-    inside the JVM. Only texts that still hold a character with a longer or
-    non-Latin decomposition are handed to Python, in Arrow batches; every other
-    row passes a NULL there. Two projections, so that the JVM step is evaluated
-    once although the next one refers to it several times.
+    All of it happens inside the JVM. ASCII texts pass untouched; letters that
+    fold to one letter or none are translated; only texts that still hold a
+    character with a longer form, such as a ligature, are taken apart character
+    by character. Two projections, so that the translation is evaluated once
+    although the next step refers to it several times.
     """
-    singles, replacements, dropped, others = _fold_tables()
-    native = {
-        c: F.when(is_ascii(F.col(c)), F.col(c)).otherwise(
-            F.translate(c, singles + dropped, replacements)
-        )
-        for c in columns
-    }
-    final = {}
+    letters, replacements, longer, pattern = _fold_tables()
+    # One folded literal: pairs parted by characters that no text holds as letters.
+    listed = F.str_to_map(
+        F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in longer.items())), F.lit("\u0001"), F.lit("\u0002")
+    )
+
+    def unfold(char: Column) -> Column:
+        known = F.when(char.rlike(pattern), F.coalesce(_syllable(char), F.element_at(listed, char)))
+        return F.coalesce(known, char)
+
+    native, final = {}, {}
     for c in columns:
-        unfinished = ~is_ascii(F.col(c)) & F.col(c).rlike(others)
-        rest = _fold_rest(F.when(unfinished, F.col(c)))
-        final[c] = F.when(unfinished, rest).otherwise(F.col(c))
+        text = F.col(c)
+        native[c] = F.when(is_ascii(text), text).otherwise(F.translate(text, letters, replacements))
+        characters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+        spelled = F.array_join(F.transform(characters, unfold), "")
+        final[c] = F.when(~is_ascii(text) & text.rlike(pattern), spelled).otherwise(text)
     return df.withColumns(native).withColumns(final)
 
 

@@ -11,18 +11,13 @@ from pyspark.sql import types as T
 from salesloom.functions.dates import parse_day_first
 from salesloom.functions.numbers import has_exponent, parse_number
 from salesloom.functions.text import collapse_blanks, fold_accents, proper_case, strip
-from salesloom.schemas import CODE_COLUMNS, DATE_COLUMNS, NUMBER_COLUMNS
+from salesloom.schemas import CODE_COLUMNS, DATE_COLUMNS, NUMBER_COLUMNS, STAGING
 
 # What a missing rate or cost counts as.
 FILL_ZERO = ["discount", "shipping_cost"]
 
-NUMBER_TYPES = {
-    "sales": "decimal(18,2)",
-    "profit": "decimal(18,5)",
-    "discount": "decimal(5,4)",
-    "quantity": "int",
-    "shipping_cost": "decimal(18,2)",
-}
+# Numbers keep all their digits until the load casts them to the column's type.
+WIDE = "decimal(38,10)"
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -38,11 +33,17 @@ def clean_dates(df: DataFrame) -> DataFrame:
 
 
 def amount(column: str) -> Column:
-    """The typed value of one number column; fractional quantities round to whole units."""
-    target = NUMBER_TYPES[column]
-    if target == "int":
-        return F.round(parse_number(F.col(column), "decimal(18,5)"), 0).try_cast("int")
-    return parse_number(F.col(column), target)
+    """The number a cell holds, not yet cut to the column's type; NULL where it holds none.
+
+    Fractional quantities round to whole units.
+    """
+    wide = parse_number(F.col(column), WIDE)
+    return F.round(wide, 0) if column == "quantity" else wide
+
+
+def fits(column: str) -> Column:
+    """False where the column's type can't hold the number."""
+    return amount(column).try_cast(STAGING[column].dataType).isNotNull()
 
 
 def clean_numbers(df: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def clean(raw: DataFrame) -> DataFrame:
 
 
 def invalid_numbers(raw: DataFrame) -> DataFrame:
-    """Every number cell that has no value or whose exponent would be swallowed, with its raw text."""
+    """Every number cell without a value, with a swallowed exponent or out of its type's range, and its raw text."""
     cells = F.explode(
         F.array(
             *[
@@ -90,6 +91,7 @@ def invalid_numbers(raw: DataFrame) -> DataFrame:
                     F.when(F.col(c).isNull() | (strip(F.col(c)) == ""), "missing")
                     .when(has_exponent(F.col(c)), "exponent")
                     .when(amount(c).isNull(), "unreadable")
+                    .when(~fits(c), "out_of_range")
                     .alias("reason"),
                 )
                 for c in _present(raw, NUMBER_COLUMNS)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from salesloom.functions.dates import calendar_columns
 from salesloom.operators.numbering import number_rows
-from salesloom.sources.storage import materialize
 
 
 def date_series(spark: SparkSession, first: str, last: str) -> DataFrame:
@@ -33,8 +32,7 @@ def calendar(days: DataFrame) -> DataFrame:
 
 def members(df: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
     """Distinct natural keys, numbered in their own order; incomplete keys are left out."""
-    found = materialize(df.select(*natural).na.drop().distinct(), key)
-    return number_rows(found, natural, key, rows=found.count())
+    return number_rows(df.select(*natural).na.drop().distinct(), natural, key)
 
 
 def keyed_hierarchy(paths: DataFrame, levels: Sequence[str]) -> DataFrame:

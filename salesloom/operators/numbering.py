@@ -13,9 +13,6 @@ _SLOT = "_slot"
 _PART = "_part"
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row within partition below
 
-# Up to this many rows, one sorted task is cheaper than a range shuffle.
-ONE_TASK_ROWS = 500_000
-
 
 def file_line(df: DataFrame) -> DataFrame:
     """Add ``_line``, a hash of where the row lies in its file.
@@ -46,20 +43,15 @@ def number_rows(
     key: str,
     *,
     start: int = 1,
-    rows: int | None = None,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``key`` = start, start+1, ... in the order of ``order_by``.
 
-    ``rows`` is the counted size of ``df``; at most ``ONE_TASK_ROWS`` of them are
-    numbered by a plain window. Otherwise each range partition is counted and its
-    rows get the sum of the partitions before it plus their own position. Ties
+    Each range partition is counted and its rows get the sum of the partitions
+    before it plus their own position. Ties
     must be equal rows (or be told apart by ``order_by``); ``spread_by`` names
     extra columns that only split such ties over partitions.
     """
-    if rows is not None and rows <= ONE_TASK_ROWS:
-        number = F.row_number().over(Window.orderBy(*order_by)).cast("long")
-        return df.drop(*spread_by).withColumn(key, number + F.lit(start - 1))
     placed = place_rows(df, order_by, spread_by)
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     # One row per range partition: bounded by spark.sql.shuffle.partitions.
@@ -101,7 +93,7 @@ def new_members(
         rows = rows.select(*unique).distinct()
     fresh = materialize(rows.join(existing.select(*unique), list(unique), "left_anti"), "fresh")
     top = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).first()["top"]
-    numbered = number_rows(fresh, unique, key, start=top + 1, rows=fresh.count())
+    numbered = number_rows(fresh, unique, key, start=top + 1)
     return numbered.select(*existing.columns)
 
 

@@ -9,16 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.functions.numbers import decimal_digits, integer_digits
 from salesloom.functions.text import collapse_blanks
 from salesloom.operators.quantiles import exact_quantiles
-from salesloom.sources.storage import materialize
 
 QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+_NUMBER_FIELDS = ["mean", "std", "min", "q25", "q50", "q75", "max"]
 
 
 def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,57 +63,73 @@ def data_types(df: DataFrame) -> DataFrame:
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def _moments(df: DataFrame, columns: Sequence[str], approximate: bool) -> DataFrame:
+    """(column, count, and for numbers mean, std, min, max and, if approximate, quartiles), in one pass."""
+    numbers = numeric_columns(df)
+
+    def of(c: str) -> Column:
+        x = F.col(c).cast("double") if c in numbers else F.lit(None).cast("double")
+        fields = [
+            F.count(c).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"), F.max(x).alias("max"),
+        ]
+        if approximate:
+            fields += [F.percentile_approx(x, p).alias(name) for p, name in QUARTILES.items()]
+        return F.struct(*fields).alias(c)
+
+    return df.agg(*[of(c) for c in columns]).unpivot([], list(columns), "column", "m").select("column", "m.*")
+
+
+def describe(
+    df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
+) -> DataFrame:
     """One row per column: count, unique, top, freq for texts; moments and quartiles for numbers.
 
-    Ties for ``top`` go to the smallest value.
+    Ties for ``top`` go to the smallest value. Counts and moments take one pass
+    without a shuffle of rows; only texts and dates are spread out to find the
+    most frequent value. ``approximate`` estimates distinct counts and quartiles
+    in that same pass and leaves out ``top`` and ``freq``.
     """
     columns = list(columns or df.columns)
     numbers = [c for c in numeric_columns(df) if c in columns]
-    found = materialize(frequencies(df, columns), "frequencies")
-    is_number = F.col("column").isin(numbers) if numbers else F.lit(False)
-    present = found.where("value is not null")
-    counts = found.groupBy("column").agg(
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("count")
-    )
-    texts = (
-        present.where(~is_number)
-        .groupBy("column")
-        .agg(
-            F.count("*").alias("unique"),
-            # Most frequent first, then smallest: the minimum of (-n, value).
-            F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("top"),
+    others = [c for c in columns if c not in numbers]
+    result = _moments(df, columns, approximate)
+    if approximate:
+        result = result.join(distinct_counts(df.select(*columns), approximate=True), "column")
+        nothing = F.lit(None).cast("string").alias("top"), F.lit(None).cast("long").alias("freq")
+        unique = F.when(~F.col("column").isin(numbers), F.col("unique")).alias("unique")
+        return result.select("column", "count", unique, *nothing, *_NUMBER_FIELDS)
+    if numbers:
+        values = df.select(*[F.col(c).cast("double").alias(c) for c in numbers]).unpivot([], numbers, "column", "x")
+        weights = values.where("x is not null").groupBy("column", "x").agg(F.count("*").alias("n"))
+        quartiles = (
+            exact_quantiles(weights, list(QUARTILES))
+            .groupBy("column")
+            .agg(
+                *[
+                    F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
+                    for p, name in QUARTILES.items()
+                ]
+            )
         )
-        .select("column", "unique", F.col("top.value").alias("top"), (-F.col("top.n")).alias("freq"))
-    )
-    result = counts.join(texts, "column", "left")
-    if not numbers:
-        return result
-    values = present.where(is_number).select("column", F.col("value").cast("double").alias("x"), "n")
-    moments = df.agg(
-        *[
-            F.struct(
-                F.avg(F.col(c).cast("double")).alias("mean"),
-                F.stddev_samp(F.col(c).cast("double")).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(c)
-            for c in numbers
-        ]
-    ).unpivot([], numbers, "column", "m")
-    quartiles = (
-        exact_quantiles(values, list(QUARTILES))
-        .groupBy("column")
-        .agg(
-            *[
-                F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
-                for p, name in QUARTILES.items()
-            ]
+        result = result.join(quartiles, "column", "left")
+    if others:
+        texts = (
+            frequencies(df, others)
+            .where("value is not null")
+            .groupBy("column")
+            .agg(
+                F.count("*").alias("unique"),
+                # Most frequent first, then smallest: the minimum of (-n, value).
+                F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("top"),
+            )
+            .select("column", "unique", F.col("top.value").alias("top"), (-F.col("top.n")).alias("freq"))
         )
-    )
-    return result.join(moments.select("column", "m.*"), "column", "left").join(
-        quartiles, "column", "left"
-    )
+        result = result.join(texts, "column", "left")
+    for name, kind in (("unique", "long"), ("top", "string"), ("freq", "long"), *[(q, "double") for q in QUARTILES.values()]):
+        if name not in result.columns:
+            result = result.withColumn(name, F.lit(None).cast(kind))
+    return result.select("column", "count", "unique", "top", "freq", *_NUMBER_FIELDS)
 
 
 def preview(df: DataFrame, order_by: Sequence[str], rows: int = 100) -> DataFrame:
@@ -121,9 +137,12 @@ def preview(df: DataFrame, order_by: Sequence[str], rows: int = 100) -> DataFram
 
 
 def seeded_sample(df: DataFrame, key: Sequence[str], rows: int = 100, seed: int = 42) -> DataFrame:
-    """The ``rows`` rows with the smallest seeded hash: the same ones under any partitioning."""
-    order = [F.xxhash64(*key, F.lit(seed)), *[F.col(c) for c in key]]
-    return df.orderBy(*order).limit(rows)
+    """The ``rows`` rows with the smallest seeded hash: the same ones under any partitioning.
+
+    The hash is MD5 over the printed key, so that other engines can draw the same sample.
+    """
+    printed = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
+    return df.orderBy(F.md5(printed.cast("binary")), *key).limit(rows)
 
 
 def unique_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -167,21 +186,26 @@ def id_name_conflicts(df: DataFrame) -> DataFrame:
     )
 
 
-def audit(df: DataFrame) -> DataFrame:
-    """(column, metric, value) with the row, missing and distinct counts of each column."""
-    found = frequencies(df, df.columns)
-    wide = found.groupBy("column").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
-        F.count("value").alias("unique"),
+def audit(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """(column, metric, value) with the row, missing and distinct counts of each column.
+
+    Rows and missing values take one pass; only exact distinct counts shuffle values.
+    """
+    row = df.agg(
+        *[
+            F.struct(F.count("*").alias("rows"), F.count_if(F.col(c).isNull()).alias("missing")).alias(c)
+            for c in df.columns
+        ]
     )
+    plain = row.unpivot([], df.columns, "column", "m").select("column", "m.*")
+    wide = plain.join(distinct_counts(df, approximate), "column")
     return wide.unpivot(["column"], ["rows", "missing", "unique"], "metric", "value")
 
 
-def compare_audits(before: DataFrame, after: DataFrame) -> DataFrame:
+def compare_audits(before: DataFrame, after: DataFrame, approximate: bool = False) -> DataFrame:
     """The same audit on two frames, side by side."""
-    left = audit(before).withColumnRenamed("value", "before")
-    right = audit(after).withColumnRenamed("value", "after")
+    left = audit(before, approximate).withColumnRenamed("value", "before")
+    right = audit(after, approximate).withColumnRenamed("value", "after")
     return left.join(right, ["column", "metric"], "full").withColumn(
         "delta", F.col("after") - F.col("before")
     )
@@ -206,7 +230,6 @@ def row_and_order_counts(df: DataFrame) -> DataFrame:
 
 
 def exact_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Groups of rows equal on ``key``, most frequent first."""
-    return (
-        df.groupBy(*key).agg(F.count("*").alias("cnt")).where("cnt > 1").orderBy(F.desc("cnt"))
-    )
+    """Groups of rows equal on ``key``, most frequent first; ties by key, which also spreads the sort."""
+    groups = df.groupBy(*key).agg(F.count("*").alias("cnt")).where("cnt > 1")
+    return groups.orderBy(F.desc("cnt"), *key)

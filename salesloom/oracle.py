@@ -80,14 +80,17 @@ FROM (SELECT product_id AS raw_product_id, product_name, category, sub_category,
       FROM staging) JOIN cats USING (category, sub_category)
 WHERE pick = 1""")
 
-_part("cal", "", """
+_CAL = """
 SELECT CAST(d AS DATE) AS date_id, CAST(year(d) AS INT) AS year,
        CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month,
        monthname(d) AS month_name
-FROM range(TIMESTAMP '1996-01-01', TIMESTAMP '2001-01-01', INTERVAL 1 DAY) t(d)""")
+FROM {days} t(d)"""
+_SPANNED = """(SELECT unnest(generate_series(least(min(order_date), min(ship_date)),
+       greatest(max(order_date), max(ship_date)), INTERVAL 1 DAY)) FROM staging)"""
+_part("cal", "staging", _CAL.format(days=_SPANNED))
 
 
-def _fact_rows(source: str) -> str:
+def _fact_rows(source: str, days: str = "order_date IS NOT NULL") -> str:
     return f"""
 SELECT order_id, order_date AS order_date_id, ship_date AS ship_date_id, ship_mode, customer_id,
        state_id, p.product_id, {MEASURES}, order_priority
@@ -95,7 +98,7 @@ FROM {source} s
 JOIN geo USING ({GEO})
 JOIN cust USING (customer_name, segment)
 JOIN prod p ON p.raw_product_id = s.product_id AND p.product_name = s.product_name
-WHERE order_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"""
+WHERE {days}"""
 
 
 _part("loaded", "staging geo cust prod", _fact_rows("staging"))
@@ -182,13 +185,15 @@ _RAW = {
     "sub_category": "upper(sub_category)",
     "product_name": _pick("l_partkey", "upper(product_name)",
                           "replace(product_name, ' ', chr(13) || chr(10))",
-                          "replace(product_name, ' ', chr(9))",
+                          "replace(product_name, ' ', chr(9))", "'oﬃce ' || product_name",
                           "product_name || ', 8.5 x 11 \"wide\"'"),
-    "sales": "CASE WHEN l_partkey % 211 = 0 THEN 'n/a' WHEN l_partkey % 223 = 0 THEN '1e3' ELSE "
+    "sales": "CASE WHEN l_partkey % 211 = 0 THEN 'n/a' WHEN l_partkey % 223 = 0 THEN '1e3' "
+             f"WHEN l_partkey % 227 = 0 THEN {_txt('sales')} || '5' ELSE "
     + _pick("l_suppkey", "format('{:,.2f}', CAST(sales AS DOUBLE))", "'$' || " + _txt("sales"),
             "' ' || " + _txt("sales") + " || ' '", _txt("sales")) + " END",
     "quantity": f"CASE WHEN l_suppkey % 61 = 0 THEN '' ELSE {_txt('quantity')} END",
     "discount": f"CASE WHEN (o_orderkey + l_linenumber) % 31 = 0 THEN NULL "
+                f"WHEN (o_orderkey + l_linenumber) % 53 = 0 THEN '50' "
                 f"ELSE {_txt('discount')} END",
     "profit": "CASE WHEN l_linenumber % 2 = 0 AND profit < 0 THEN '(' || "
               f"{_txt('abs(profit)')} || ')' ELSE {_txt('profit')} END",
@@ -202,7 +207,7 @@ _part("raw", "lines", "SELECT " + ", ".join(f"{_RAW[c]} AS {c}" for c in RAW.nam
       + " FROM lines")
 
 _TYPES = {"sales": "DECIMAL(18,2)", "profit": "DECIMAL(18,5)", "discount": "DECIMAL(5,4)",
-          "shipping_cost": "DECIMAL(18,2)"}
+          "shipping_cost": "DECIMAL(18,2)", "quantity": "INT"}
 
 
 def _spaced(column: str) -> str:
@@ -219,12 +224,12 @@ def _parsed_number(column: str) -> str:
     signed = f"regexp_replace({plain}, '^\\((.+)\\)$', '-\\1')"
     digits = f"regexp_replace({signed}, '[^0-9.\\-]', '', 'g')"
     if column == "quantity":
-        return f"TRY_CAST(round(TRY_CAST({digits} AS DECIMAL(18,5)), 0) AS INT)"
-    return f"TRY_CAST({digits} AS {_TYPES[column]})"
+        return f"round(TRY_CAST({digits} AS DECIMAL(38,10)), 0)"
+    return f"TRY_CAST({digits} AS DECIMAL(38,10))"
 
 
 def _tidy(column: str) -> str:
-    return f"strip_accents({_spaced(column)})"
+    return f"replace(strip_accents({_spaced(column)}), 'ﬃ', 'ffi')"
 
 
 def _ascii(text: str) -> str:
@@ -257,7 +262,14 @@ _part("clean", "cased", "SELECT * FROM (SELECT " + ", ".join(
     f"{_cleaned(c)} AS {c}" for c in RAW.names) + " FROM cased) WHERE order_date IS NOT NULL")
 
 
-def sql(text: str) -> str:
+# The same two parts under a calendar that lacks days.
+_SHORT = {
+    "cal": _CAL.format(days="range(TIMESTAMP '1996-01-01', TIMESTAMP '2001-01-01', INTERVAL 1 DAY)"),
+    "loaded": _fact_rows("staging", "order_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"),
+}
+
+
+def sql(text: str, short: bool = False) -> str:
     """``text`` preceded by the parts it mentions, and the parts those need."""
     import re
 
@@ -274,15 +286,17 @@ def sql(text: str) -> str:
             add(name)
     if not chosen:
         return text.strip()
-    parts = ",\n".join(f"{name} AS MATERIALIZED ({_PARTS[name][1].strip()})" for name in chosen)
+    bodies = {name: _PARTS[name][1] for name in chosen} | (_SHORT if short else {})
+    parts = ",\n".join(f"{name} AS MATERIALIZED ({bodies[name].strip()})" for name in chosen)
     return f"WITH {parts}\n{text.strip()}"
 
 
 _DOUBLES = {"sales", "discount", "profit", "shipping_cost", "total_sales", "total_profit"}
 
 
-def _shown(columns: list[str]) -> str:
-    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in _DOUBLES else c for c in columns)
+def _shown(columns: list[str], more: tuple[str, ...] = ()) -> str:
+    doubles = _DOUBLES.union(more)
+    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in doubles else c for c in columns)
 
 
 def _money(expression: str, digits: int = 2) -> str:
@@ -301,8 +315,24 @@ def _union(selects: list[str]) -> str:
 ORACLE: dict[str, str] = {}
 
 
+_WITH_SHORT_CALENDAR = (
+    "e_anti", "e_left_null", "e_match_rate", "e_cross_one_row", "j01_loading_gaps",
+    "j04_layer_totals", "j06_load_overview", "j07_key_orphans", "j10_order_match",
+)
+
+
+_OF_LAST_YEAR = (
+    "l3_category_share", "l4_top_products_and_customers", "l6_drill_down", "l7_high_discount_losses",
+)
+_YEAR = "FROM (SELECT * FROM vfull WHERE order_year = (SELECT max(order_year) FROM vfull)) y"
+
+
 def _oracle(name: str, text: str) -> None:
     ORACLE[name] = sql(text)
+    if name in _OF_LAST_YEAR:
+        ORACLE[f"{name}_of_year"] = sql(text.replace("FROM vfull", _YEAR))
+    if name in _WITH_SHORT_CALENDAR:
+        ORACLE[f"{name}_planted"] = sql(text, short=True)
 
 
 STAGING_SHOWN = _shown(STAGING.names)
@@ -312,7 +342,9 @@ STAGING_SHOWN = _shown(STAGING.names)
 # An empty cell of a file is a missing one.
 _oracle("a_csv_roundtrip", "SELECT "
         + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW.names) + " FROM raw")
-_oracle("a_typed_load", f"SELECT {STAGING_SHOWN} FROM clean")
+_oracle("a_typed_load", f"SELECT {STAGING_SHOWN} FROM (SELECT * REPLACE ("
+        + ", ".join(f"TRY_CAST({c} AS {kind}) AS {c}" for c, kind in _TYPES.items())
+        + ") FROM clean)")
 
 
 def _bad_cast(field) -> str:
@@ -375,8 +407,7 @@ _oracle("b_date_nulls", _union([
     f"SELECT '{c}' AS \"column\", count(*) FILTER ({_parsed_date(c)} IS NULL) AS null_dates FROM raw"
     for c in ("order_date", "ship_date")]))
 _oracle("b_numbers", "SELECT order_id, " + ", ".join(
-    f"{c} AS {c}_raw, " + (_parsed_number(c) if c == "quantity"
-                           else f"CAST({_parsed_number(c)} AS DOUBLE)") + f" AS {c}"
+    f"{c} AS {c}_raw, CAST({_parsed_number(c)} AS DOUBLE) AS {c}"
     for c in NUMBER_COLUMNS) + " FROM raw")
 _oracle("b_number_errors", _union([
     f"SELECT '{c}' AS \"column\", "
@@ -387,7 +418,8 @@ _oracle("b_invalid_report", "SELECT * FROM (" + _union([
     f"SELECT '{c}' AS \"column\", order_id, {c} AS raw_value, "
     f"CASE WHEN {c} IS NULL OR trim({c}) = '' THEN 'missing' "
     f"WHEN regexp_matches({c}, '[0-9.][eE][+-]?[0-9]') THEN 'exponent' "
-    f"WHEN {_parsed_number(c)} IS NULL THEN 'unreadable' END AS reason FROM raw"
+    f"WHEN {_parsed_number(c)} IS NULL THEN 'unreadable' "
+    f"WHEN TRY_CAST({_parsed_number(c)} AS {_TYPES[c]}) IS NULL THEN 'out_of_range' END AS reason FROM raw"
     for c in NUMBER_COLUMNS]) + ") WHERE reason IS NOT NULL")
 _oracle("b_whitespace", "SELECT " + ", ".join(f"{_spaced(c)} AS {c}" for c in TEXT_COLUMNS)
         + " FROM raw")
@@ -414,7 +446,7 @@ _oracle("b_fill_zero", _union([
     f"SELECT '{c}' AS \"column\", count(*) FILTER ({_parsed_number(c)} IS NULL) AS filled "
     f"FROM raw WHERE {_parsed_date('order_date')} IS NOT NULL"
     for c in ("discount", "shipping_cost")]))
-_oracle("b_clean", f"SELECT {_shown(RAW.names)} FROM clean")
+_oracle("b_clean", f"SELECT {_shown(RAW.names, ('quantity',))} FROM clean")
 
 # --- C --------------------------------------------------------------------
 
@@ -450,6 +482,10 @@ _oracle("c_dtypes", _union([
 _oracle("c_preview", f"""
 SELECT {STAGING_SHOWN}
 FROM (SELECT * FROM staging ORDER BY {', '.join(STAGING.names)} LIMIT 100)""")
+_oracle("c_sample", f"""
+SELECT {STAGING_SHOWN} FROM (SELECT * FROM staging ORDER BY
+       md5(concat_ws('|', '42', {', '.join(f'CAST({c} AS VARCHAR)' for c in STAGING.names)})),
+       {', '.join(STAGING.names)} LIMIT 100)""")
 _oracle("c_unique_text", _union([
     f"SELECT DISTINCT '{c}' AS \"column\", {_spaced(c)} AS value FROM raw" for c in TEXT_COLUMNS]))
 _oracle("c_unique_text_counts", _union([
@@ -463,7 +499,7 @@ def _digits(column: str) -> str:
     return (f"SELECT '{column}' AS \"column\", max({whole}) AS max_int_digits, "
             f"max({part}) AS max_decimal_digits, min({whole}) AS min_int_digits, "
             f"min({part}) AS min_decimal_digits "
-            f"FROM (SELECT printf('%.6f', CAST({column} AS DOUBLE)) AS t FROM staging)")
+            f"FROM (SELECT printf('%.6f', CAST({_parsed_number(column)} AS DOUBLE)) AS t FROM raw)")
 
 
 _oracle("c_digit_profile", _union([_digits(c) for c in NUMBER_COLUMNS]))
@@ -902,7 +938,7 @@ UNION ALL SELECT 'average margin', CAST(CAST(round(
 # --- L --------------------------------------------------------------------
 
 _MEMBERS = {"total": "'all'", "market": "market_name", "segment": "segment",
-            "sub_category": "sub_category_name",
+            "category": "category_name", "sub_category": "sub_category_name",
             "product": "raw_product_id || ' ' || product_name"}
 
 
@@ -920,6 +956,7 @@ def _grown(*dimensions: str) -> str:
 
 _oracle("l1_year_over_year", f"""
 SELECT dimension, member, year, {_money('s')} AS sales, {_money('p')} AS profit,
+       {_ratio('p', 's', 2, '100')} AS margin_pct,
        {_money('s - ps')} AS sales_change, {_ratio('(s - ps)', 'ps', 2, '100')} AS sales_yoy_pct,
        {_money('p - pp')} AS profit_change, {_ratio('(p - pp)', 'pp', 2, '100')} AS profit_yoy_pct
 FROM {_grown(*_MEMBERS)}""")
@@ -939,8 +976,8 @@ _oracle("l4_top_products_and_customers", _union([
     for kind, name in (("product", "product_name"), ("customer", "customer_name"))]))
 _oracle("l5_largest_gains", f"""
 SELECT dimension, member, year, {_money('s')} AS sales, {_money('s - ps')} AS sales_gain
-FROM {_grown('market', 'product')} WHERE year = 2000 AND ps IS NOT NULL
-ORDER BY s - ps DESC, dimension, member LIMIT 10""")
+FROM {_grown('market', 'product')} WHERE year = (SELECT max(order_year) FROM vfull) AND ps IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY dimension ORDER BY s - ps DESC, member) <= 10""")
 _oracle("l6_drill_down", f"""
 SELECT market_name, region_name, country_name, customer_name,
        CAST(grouping_id(market_name, region_name, country_name, customer_name) AS INT)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,35 +15,33 @@ DIMENSIONS = {
     "total": None,
     "market": "market_name",
     "segment": "segment",
+    "category": "category_name",
     "sub_category": "sub_category_name",
     "product": "product",
 }
 
 
+def of_year(view: DataFrame, year: int | None) -> DataFrame:
+    """The rows of one year, or all of them; the filter reaches the scan."""
+    return view if year is None else view.where(F.col("order_year") == year)
+
+
 def yearly(view: DataFrame, dimensions: Sequence[str] = tuple(DIMENSIONS)) -> DataFrame:
-    """(dimension, member, year, sales, profit) for several dimensions at once.
+    """(dimension, member, year, sales, profit) for several dimensions.
 
-    A product is an id with a name, since ids are shared by several names.
-    The view is grouped once by all of them; only those groups are spread over
-    the dimensions and added up again.
+    A product is an id with a name, since ids are shared by several names. Each
+    dimension is grouped on its own, from its own narrow scan: a market or a
+    segment shrinks to a few rows before anything is shuffled.
     """
-    columns = [DIMENSIONS[d] for d in dimensions if DIMENSIONS[d]]
     named = view.withColumn("product", F.concat_ws(" ", "raw_product_id", "product_name"))
-    base = named.groupBy("order_year", *columns).agg(
-        F.sum("sales").alias("sales"), F.sum("profit").alias("profit")
-    )
-    roles = [
-        F.struct(
-            F.lit(d).alias("dimension"),
-            (F.col(DIMENSIONS[d]) if DIMENSIONS[d] else F.lit("all")).alias("member"),
+    parts = []
+    for d in dimensions:
+        member = F.col(DIMENSIONS[d]) if DIMENSIONS[d] else F.lit("all")
+        totals = named.groupBy(member.alias("member"), F.col("order_year").alias("year")).agg(
+            F.sum("sales").alias("sales"), F.sum("profit").alias("profit")
         )
-        for d in dimensions
-    ]
-    return (
-        base.select("order_year", "sales", "profit", F.explode(F.array(*roles)).alias("r"))
-        .groupBy("r.dimension", "r.member", F.col("order_year").alias("year"))
-        .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
-    )
+        parts.append(totals.select(F.lit(d).alias("dimension"), "member", "year", "sales", "profit"))
+    return reduce(DataFrame.union, parts)
 
 
 def _with_previous_year(years: DataFrame) -> DataFrame:
@@ -71,6 +70,7 @@ def year_over_year(view: DataFrame, dimensions: Sequence[str] = tuple(DIMENSIONS
         "year",
         money(F.col("sales")).alias("sales"),
         money(F.col("profit")).alias("profit"),
+        ratio(F.col("profit"), F.col("sales"), 2, 100).alias("margin_pct"),
         *_change("sales"),
         *_change("profit"),
     )
@@ -86,9 +86,9 @@ def monthly_trend(view: DataFrame) -> DataFrame:
     )
 
 
-def category_share(view: DataFrame) -> DataFrame:
+def category_share(view: DataFrame, year: int | None = None) -> DataFrame:
     """Contribution of each category to sales and profit; the whole is a scalar subquery."""
-    totals = view.groupBy("category_name").agg(
+    totals = of_year(view, year).groupBy("category_name").agg(
         F.sum("sales").alias("sales"), F.sum("profit").alias("profit")
     )
 
@@ -115,7 +115,10 @@ def top_members(view: DataFrame, keys: Sequence[str], rows: int = 10) -> DataFra
     )
 
 
-def top_products_and_customers(view: DataFrame, rows: int = 10) -> DataFrame:
+def top_products_and_customers(
+    view: DataFrame, rows: int = 10, year: int | None = None
+) -> DataFrame:
+    view = of_year(view, year)
     products = top_members(view, ["product_name"], rows)
     customers = top_members(view, ["customer_name"], rows)
 
@@ -130,27 +133,29 @@ def top_products_and_customers(view: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def largest_gains(view: DataFrame, year: int, rows: int = 10) -> DataFrame:
-    """Products and markets with the largest absolute sales gain in ``year``."""
-    grown = _with_previous_year(yearly(view, ["market", "product"])).where(
+    """The ``rows`` products and the ``rows`` markets with the largest absolute sales gain in ``year``."""
+    two_years = view.where(F.col("order_year").isin(year - 1, year))
+    grown = _with_previous_year(yearly(two_years, ["market", "product"])).where(
         (F.col("year") == year) & F.col("prev_sales").isNotNull()
     )
+    grown = grown.withColumn("gain", F.col("sales") - F.col("prev_sales"))
+    place = F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("gain"), "member"))
     return (
-        grown.withColumn("gain", F.col("sales") - F.col("prev_sales"))
-        .orderBy(F.desc("gain"), "dimension", "member")
-        .limit(rows)
+        grown.withColumn("place", place)
+        .where(F.col("place") <= rows)
         .select("dimension", "member", "year", money(F.col("sales")).alias("sales"),
                 money(F.col("gain")).alias("sales_gain"))
     )
 
 
-def drill_down(view: DataFrame) -> DataFrame:
+def drill_down(view: DataFrame, year: int | None = None) -> DataFrame:
     """Sales and profit at every level from all markets down to the customer.
 
     The view is grouped to the lowest level first, so the roll-up expands
     customers, not order lines.
     """
     levels = ["market_name", "region_name", "country_name", "customer_name"]
-    base = view.groupBy(levels).agg(F.sum("sales").alias("s"), F.sum("profit").alias("p"))
+    base = of_year(view, year).groupBy(levels).agg(F.sum("sales").alias("s"), F.sum("profit").alias("p"))
     return base.rollup(*levels).agg(
         F.grouping_id().cast("int").alias("level_mask"),
         money(F.sum("s")).alias("total_sales"),
@@ -158,9 +163,9 @@ def drill_down(view: DataFrame) -> DataFrame:
     )
 
 
-def high_discount_losses(view: DataFrame) -> DataFrame:
+def high_discount_losses(view: DataFrame, year: int | None = None) -> DataFrame:
     """Products sold at a loss in the highest discount band."""
-    high = view.where(discount_band(F.col("discount")) == "High (>30%)")
+    high = of_year(view, year).where(discount_band(F.col("discount")) == "High (>30%)")
     return (
         high.groupBy("sub_category_name", "raw_product_id", "product_name")
         .agg(
@@ -191,12 +196,12 @@ def growth_risk(view: DataFrame) -> DataFrame:
 def segment_analysis(view: DataFrame) -> DataFrame:
     """Segment sales per year with share of the year and growth."""
     years = _with_previous_year(yearly(view, ["segment"]))
-    of_year = Window.partitionBy("year")
+    same_year = Window.partitionBy("year")
     return years.select(
         F.col("member").alias("segment"),
         "year",
         money(F.col("sales")).alias("sales"),
-        ratio(F.col("sales"), F.sum("sales").over(of_year), 2, 100).alias("share_pct"),
+        ratio(F.col("sales"), F.sum("sales").over(same_year), 2, 100).alias("share_pct"),
         _change("sales")[1],
         _change("profit")[1],
     )

@@ -95,7 +95,8 @@ def with_differences(
     """Add (label, a, b) rows = layer a minus layer b; layer and difference rows in that order.
 
     ``layers`` has one row per layer. Each layer contributes plus or minus itself
-    to the differences it takes part in, so nothing is computed twice.
+    to the differences it takes part in, so nothing is computed twice. Where a
+    layer has no value, as an empty one has no sum, its differences have none.
     """
     roles: list[Column] = [F.struct(F.col("source").alias("label"), F.lit(1).alias("sign"))]
     for label, a, b in differences:
@@ -105,7 +106,10 @@ def with_differences(
         "role.sign is not null"
     )
     return placed.groupBy(F.col("role.label").alias("source")).agg(
-        *[F.sum(F.col(m) * F.col("role.sign")).alias(m) for m in measures]
+        *[
+            F.when(F.count(m) == F.count("*"), F.sum(F.col(m) * F.col("role.sign"))).alias(m)
+            for m in measures
+        ]
     )
 
 

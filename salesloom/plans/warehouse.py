@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesloom.operators import hierarchy as H
 from salesloom.operators.cleaning import clean
@@ -14,8 +15,8 @@ from salesloom.schemas import TABLES
 from salesloom.sources.storage import materialize
 from salesloom.sources.testdata import raw_sales, staging_sales
 
-# The calendar of the supplied tables' load. Orders outside it stay in staging only.
-CALENDAR = ("1996-01-01", "2000-12-31")
+# A calendar too short for the supplied tables: a planted fault that the load reports must show.
+SHORT_CALENDAR = ("1996-01-01", "2000-12-31")
 
 
 class Warehouse(Mapping[str, DataFrame]):
@@ -24,24 +25,27 @@ class Warehouse(Mapping[str, DataFrame]):
     ``staging`` is any DataFrame with the staging columns. Each table is written
     to the shared folder, so a later reader starts from its files: it needs only
     the columns it names, and no lost executor can force the load to run again.
+
+    ``calendar`` names the first and last day of the calendar; orders outside it
+    stay in staging only. By default it spans all order and ship dates.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         staging: Callable[[], DataFrame],
-        calendar: tuple[str, str] = CALENDAR,
+        calendar: tuple[str, str] | None = None,
         raw: Callable[[], DataFrame] | None = None,
     ) -> None:
         self.spark = spark
-        self.calendar = calendar
+        self._calendar = calendar
         self._ready: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "staging_sales": staging,
             "geography_keys": self._geography_keys,
             "product_paths": self._product_paths,
             "category_keys": self._category_keys,
-            "dim_date": lambda: H.calendar(H.date_series(spark, *calendar)),
+            "dim_date": lambda: H.calendar(H.date_series(spark, *self.calendar)),
             "dim_customer": lambda: H.members(
                 self["staging_sales"], ["customer_name", "segment"], "customer_id"
             ),
@@ -64,6 +68,26 @@ class Warehouse(Mapping[str, DataFrame]):
             self._builders["raw_sales"] = raw
             self._builders["clean_sales"] = lambda: clean(self["raw_sales"])
 
+    @property
+    def calendar(self) -> tuple[str, str]:
+        """First and last day; found in the staging rows once where none were given."""
+        if self._calendar is None:
+            days = ["order_date", "ship_date"]
+            ends = self["staging_sales"].agg(
+                F.least(*[F.min(c) for c in days]).cast("string").alias("first"),
+                F.greatest(*[F.max(c) for c in days]).cast("string").alias("last"),
+            ).first()
+            self._calendar = (ends["first"], ends["last"])
+        return self._calendar
+
+    def with_calendar(self, first: str, last: str) -> Warehouse:
+        """The same load under another calendar; staging and the other dimensions are shared."""
+        other = Warehouse(self.spark, lambda: self["staging_sales"], (first, last))
+        dated = {"dim_date", "fact_sales", "vw_sales_full", "vw_sales_summary"}
+        for name in other._builders.keys() - dated:
+            other._ready[name] = self[name]
+        return other
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._ready:
             built = self._builders[name]()
@@ -101,8 +125,7 @@ class Warehouse(Mapping[str, DataFrame]):
             "product_id", "raw_product_id"
         )
         parents = self["category_keys"].select("category", "sub_category", "sub_category_id")
-        rows = materialize(chosen.join(parents, ["category", "sub_category"]), "products")
-        return H.number_rows(rows, natural, "product_id", rows=rows.count())
+        return H.number_rows(chosen.join(parents, ["category", "sub_category"]), natural, "product_id")
 
     def _fact_sales(self) -> DataFrame:
         staging = file_line(self["staging_sales"])
@@ -122,3 +145,11 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             raw=lambda: raw_sales(spark, sf_dir),
         )
     return _open[key]
+
+
+def short_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The same load under ``SHORT_CALENDAR``, so that a part of the orders is missing downstream."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#short")
+    if key not in _open:
+        _open[key] = warehouse(spark, sf_dir).with_calendar(*SHORT_CALENDAR)
+    return _open[key]

@@ -19,13 +19,13 @@ from salesloom.plans import analytics as K
 from salesloom.plans import dashboard as L
 from salesloom.plans import quality as J
 from salesloom.plans import views as V
-from salesloom.plans.warehouse import Warehouse, warehouse
+from salesloom.plans.warehouse import Warehouse, short_warehouse, warehouse
 from salesloom.schemas import (
     CODE_COLUMNS, DUPLICATE_KEY, NAME_COLUMNS, NUMBER_COLUMNS, STAGING, SUMMARY_KEYS, TABLES,
     TEXT_COLUMNS,
 )
 from salesloom.sources import csv_files, tables
-from salesloom.sources.storage import fresh_path, materialize, spread
+from salesloom.sources.storage import fresh_path, materialize
 from salesloom.sources.testdata import with_repeated_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,10 +56,20 @@ def query(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], Data
     return build
 
 
+def query_with_short_calendar(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+    """Register ``build`` and, as ``<name>_planted``, the same on a load that lacks some days."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return shown(build(short_warehouse(spark, sf_dir)))
+
+    QUERIES[f"{build.__name__}_planted"] = run
+    return query(build)
+
+
 def query_on_documents(build: Callable[[DataFrame], DataFrame]) -> Callable:
     """Register a query that reads the documents table only."""
     QUERIES[build.__name__] = lambda spark, sf_dir: build(
-        spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+        spark.read.parquet(f"{sf_dir}/documents.parquet")
     )
     return build
 
@@ -277,7 +287,7 @@ def c_unique_text_counts(w):
 
 @query
 def c_digit_profile(w):
-    return C.digit_profile(w["staging_sales"], NUMBER_COLUMNS)
+    return C.digit_profile(B.clean_numbers(w["raw_sales"].select(NUMBER_COLUMNS)), NUMBER_COLUMNS)
 
 
 @query
@@ -312,7 +322,7 @@ def d_series(w):
 
 @query
 def d_calendar(w):
-    return H.calendar(H.day_span(w["staging_sales"], ["order_date", "ship_date"]))
+    return w["dim_date"]
 
 
 @query
@@ -445,21 +455,21 @@ def e_snowflake_agg(w):
     )
 
 
-@query
+@query_with_short_calendar
 def e_anti(w):
     """Staging rows without an equal fact row; both sides reduced to distinct rows first."""
     staging = J.staging_lines(w).groupBy(J.COMPARED).agg(F.count("*").alias("row_count"))
     return staging.join(J.fact_lines(w).distinct(), J.COMPARED, "left_anti")
 
 
-@query
+@query_with_short_calendar
 def e_left_null(w):
     used = w["fact_sales"].groupBy("ship_date_id").agg(F.count("*").alias("row_count"))
     days = w["dim_date"].select(F.col("date_id").alias("ship_date_id"), "year")
     return used.join(days, "ship_date_id", "left").where("year is null").drop("year")
 
 
-@query
+@query_with_short_calendar
 def e_match_rate(w):
     """Orders per year with how many of them reached the fact."""
     placed = w["staging_sales"].select("order_id", F.year("order_date").alias("year")).distinct()
@@ -471,7 +481,7 @@ def e_match_rate(w):
     )
 
 
-@query
+@query_with_short_calendar
 def e_cross_one_row(w):
     """Two one-row aggregates set against each other."""
     layers = J.union_all(
@@ -786,7 +796,7 @@ def _one_market_twice(w: Warehouse) -> dict[str, DataFrame]:
     return _with(w, staging_sales=with_repeated_lines(w["staging_sales"]))
 
 
-@query
+@query_with_short_calendar
 def j01_loading_gaps(w):
     return J.loading_gaps(w)
 
@@ -811,7 +821,7 @@ def j03_multiset_difference_planted(w):
     return J.multiset_difference(_one_market_twice(w))
 
 
-@query
+@query_with_short_calendar
 def j04_layer_totals(w):
     return J.layer_totals(w)
 
@@ -821,12 +831,12 @@ def j05_distinct_comparison(w):
     return J.distinct_comparison(w)
 
 
-@query
+@query_with_short_calendar
 def j06_load_overview(w):
     return J.load_overview(w)
 
 
-@query
+@query_with_short_calendar
 def j07_key_orphans(w):
     return J.key_orphans(w)
 
@@ -841,7 +851,7 @@ def j09_product_conflicts(w):
     return J.product_conflicts(w)
 
 
-@query
+@query_with_short_calendar
 def j10_order_match(w):
     return J.order_match(w)
 
@@ -933,7 +943,10 @@ def k10_kpi_cards(w):
 
 # --- L. dashboard ---------------------------------------------------------
 
-LAST_YEAR = 2000
+
+def last_year(w: Warehouse) -> int:
+    """The year the dashboard shows: the latest one with orders."""
+    return w["vw_sales_full"].agg(F.max("order_year").alias("y")).first()["y"]
 
 
 @query
@@ -951,14 +964,24 @@ def l3_category_share(w):
     return L.category_share(w["vw_sales_full"])
 
 
+@query
+def l3_category_share_of_year(w):
+    return L.category_share(w["vw_sales_full"], year=last_year(w))
+
+
 @query
 def l4_top_products_and_customers(w):
     return L.top_products_and_customers(w["vw_sales_full"])
 
 
+@query
+def l4_top_products_and_customers_of_year(w):
+    return L.top_products_and_customers(w["vw_sales_full"], year=last_year(w))
+
+
 @query
 def l5_largest_gains(w):
-    return L.largest_gains(w["vw_sales_full"], LAST_YEAR)
+    return L.largest_gains(w["vw_sales_full"], last_year(w))
 
 
 @query
@@ -966,11 +989,21 @@ def l6_drill_down(w):
     return L.drill_down(w["vw_sales_full"])
 
 
+@query
+def l6_drill_down_of_year(w):
+    return L.drill_down(w["vw_sales_full"], year=last_year(w))
+
+
 @query
 def l7_high_discount_losses(w):
     return L.high_discount_losses(w["vw_sales_full"])
 
 
+@query
+def l7_high_discount_losses_of_year(w):
+    return L.high_discount_losses(w["vw_sales_full"], year=last_year(w))
+
+
 @query
 def l8_growth_risk(w):
     return L.growth_risk(w["vw_sales_full"])

@@ -6,26 +6,17 @@ a reader sees the same rows in the same files however often it is retried.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; one of our own only in local mode."""
+    """Folder named by ``spark.checkpoint.dir``, or one below the session's warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="salesloom-")
-    return _local_dirs[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -43,13 +34,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return write_and_read(df, fresh_path(df.sparkSession, label))
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan over the cores when it has fewer splits than cores.
-
-    Only an input too small to fill the cluster is shuffled; a large one has far
-    more splits than cores and is left as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has written below the shared folder; nothing reads it later."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/salesloom/{context.applicationId}")
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

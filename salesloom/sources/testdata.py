@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.schemas import MONEY, PROFIT, RATE, RAW, STAGING
-from salesloom.sources.storage import spread
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,7 +19,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     under ``spark.sql.autoBroadcastJoinThreshold``.
     """
     return (
-        spread(_read(spark, sf_dir, "lineitem"))
+        _read(spark, sf_dir, "lineitem")
         .join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -129,6 +128,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = (
         F.when(part % 211 == 0, "n/a")
         .when(part % 223 == 0, "1e3")
+        .when(part % 227 == 0, F.concat(text("sales"), F.lit("5")))
         .otherwise(
             _pick(
                 supplier,
@@ -172,11 +172,14 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.upper("product_name"),
             F.regexp_replace("product_name", " ", "\r\n"),
             F.regexp_replace("product_name", " ", "\t"),
+            F.concat(F.lit("oﬃce "), "product_name"),
             F.concat("product_name", F.lit(', 8.5 x 11 "wide"')),
         ),
         "sales": sales,
         "quantity": F.when(supplier % 61 == 0, "").otherwise(text("quantity")),
-        "discount": F.when((order + line) % 31 == 0, F.lit(None)).otherwise(text("discount")),
+        "discount": F.when((order + line) % 31 == 0, F.lit(None))
+        .when((order + line) % 53 == 0, "50")
+        .otherwise(text("discount")),
         "profit": F.when((line % 2 == 0) & (F.col("profit") < 0), in_parentheses).otherwise(
             text("profit")
         ),

@@ -48,6 +48,14 @@ def test_quantity_rounds_to_whole_units(spark):
 BLANKS = [" a  b ", "a\tb", "a\r\nb", "a  b", " a", "a\x1cb", "ab", "", " ", None, "é  é"]
 
 
+def test_numbers_beyond_the_type_are_kept_and_reported(spark):
+    raw = spark.createDataFrame([("1", "12.345", "50"), ("2", "1", None)], "order_id string, sales string, discount string")
+    cleaned = cleaning.fill_missing(cleaning.clean_numbers(raw)).orderBy("order_id").collect()
+    assert [(float(r["sales"]), float(r["discount"])) for r in cleaned] == [(12.345, 50.0), (1.0, 0.0)]
+    found = {(r["column"], r["raw_value"], r["reason"]) for r in cleaning.invalid_numbers(raw).collect()}
+    assert found == {("discount", "50", "out_of_range"), ("discount", None, "missing")}
+
+
 def test_blanks(spark):
     want = [None if t is None else " ".join(t.split()) for t in BLANKS]
     assert apply(spark, BLANKS, collapse_blanks) == want

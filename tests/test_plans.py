@@ -22,9 +22,11 @@ def test_small_dimensions_do_not_shuffle_the_fact(w, build):
 
 
 def test_dimensions_too_large_to_broadcast_are_joined_by_shuffle(spark, w):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
-    plan = physical(views.sales_full(w))
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+        plan = physical(views.sales_full(w))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
@@ -33,9 +35,11 @@ def test_results_do_not_depend_on_the_join_strategy(spark, w):
         return sorted(map(str, views.sales_summary(w).collect()))
 
     broadcast = rows()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    shuffled = rows()
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        shuffled = rows()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert broadcast == shuffled
 
 
@@ -51,10 +55,11 @@ def test_reconciliation_shuffles_once_before_the_report(w):
 
 def test_date_filter_reaches_the_scan(w):
     plan = physical(views.load_fact(w["staging_sales"], w, *w.calendar))
-    assert "GreaterThanOrEqual(order_date,1996-01-01)" in plan
+    assert f"GreaterThanOrEqual(order_date,{w.calendar[0]})" in plan
 
 
 def test_cleaning_needs_no_shuffle(w):
     from salesloom.operators.cleaning import clean
 
-    assert "Exchange" not in physical(clean(w["raw_sales"]))
+    plan = physical(clean(w["raw_sales"]))
+    assert "Exchange" not in plan and "Python" not in plan
