@@ -53,8 +53,8 @@ def bounded_batches(spark: SparkSession) -> None:
     The number of rows, Spark's own limit, says nothing about texts of very different length. The
     setting stays with the session, as results are computed after an operator has returned.
     """
-    now = spark.conf.get(_BATCH, "-1")
-    if not now.isdigit() or not 0 < int(now) <= _BATCH_BYTES:
+    now = spark.conf.get(_BATCH).rstrip("bB")
+    if not now.isdigit() or int(now) > _BATCH_BYTES:
         spark.conf.set(_BATCH, str(_BATCH_BYTES))
 
 
