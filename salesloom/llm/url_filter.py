@@ -18,6 +18,7 @@ from salesloom.llm.common import ascii_lower, stage
 DAMPING = 0.85
 ROUNDS = 15
 LEAST_DISTRUST = 1e-9
+_WRITTEN = 5  # rounds between two writes, which bound what a lost executor can cost
 _LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
 
@@ -73,25 +74,28 @@ def host_links(pages: DataFrame, host: Column, html: Column) -> DataFrame:
 def propagate(
     edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS
 ) -> DataFrame:
-    """(host, rank): personalised PageRank over (src, dst, weight) from seeds (host, seed).
+    """(kind, host, rank): personalised PageRank over edges (kind, src, dst, weight) from seeds (kind, host, seed).
 
-    Seeds are scaled to sum to 1. In each round a host passes on ``damping`` of its rank by the
-    weight of its links, and every seed gets its share of the rest. Rank that a host without links
-    can't pass on ends there. Without seeds there are no ranks; hosts that nothing reaches are left
-    out. Ranks are rounded to 12 places, so a rerun that adds in another order gives equal ones.
+    Kinds are graphs of their own that are ranked side by side. Seeds of a kind are scaled to sum to
+    1. In each round a host passes on ``damping`` of its rank by the weight of its links, and every
+    seed gets its share of the rest. Rank that a host without links can't pass on ends there.
+    Without seeds there are no ranks; hosts that nothing reaches are left out. Ranks are rounded to
+    12 places, so a rerun that adds in another order gives equal ones.
     """
-    total = seeds.agg(F.sum("seed").alias("n")).first()["n"]
-    start = stage(seeds.select("host", (F.col("seed") / F.lit(float(total or 1))).alias("seed")), "seeds")
-    out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    shares = stage(edges.join(stage(out, "out-links"), "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")), "shares")
-    ranks = start.select("host", F.col("seed").alias("rank"))
-    for _ in range(rounds):
-        passed = shares.join(ranks, shares.src == ranks.host).select(
-            F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
+    totals = seeds.groupBy("kind").agg(F.sum("seed").alias("all"))
+    start = stage(seeds.join(totals, "kind").select("kind", "host", (F.col("seed") / F.col("all")).alias("seed")), "seeds")
+    out = stage(edges.groupBy("kind", "src").agg(F.sum("weight").alias("total")), "out-links")
+    shares = edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("total")).alias("share"))
+    shares = stage(shares, "shares")
+    kept = start.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
+    ranks = start.select("kind", "host", F.col("seed").alias("rank"))
+    for done in range(1, rounds + 1):
+        passed = shares.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"]).select(
+            "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
         )
-        kept = start.select("host", (F.col("seed") * (1 - damping)).alias("rank"))
-        ranks = passed.union(kept).groupBy("host").agg(F.round(F.sum("rank"), 12).alias("rank"))
-        ranks = stage(ranks, "ranks")
+        ranks = passed.union(kept).groupBy("kind", "host").agg(F.round(F.sum("rank"), 12).alias("rank"))
+        if done % _WRITTEN == 0 or done == rounds:
+            ranks = stage(ranks, "ranks")
     return ranks
 
 
@@ -121,18 +125,13 @@ def judge_urls(
     judged = rows.select("page_id", host.alias("host"), path.alias("path"))
     judged = judged.select("*", rule.alias("rule"), verdict.alias("ruled"))
     edges = stage(host_links(rows, host, F.col("html")), "host-links")
-    seeds = stage(
-        judged.filter("ruled IS NOT NULL").groupBy("host", "ruled").agg(F.count("*").alias("seed")), "seed-pages"
-    )
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    trust = propagate(edges, seeds.filter("ruled = 'allow'"), damping=damping, rounds=rounds)
-    distrust = propagate(back, seeds.filter("ruled = 'block'"), damping=damping, rounds=rounds)
-    hosts = (
-        trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust"))
-        .union(distrust.select("host", F.lit(0.0), F.col("rank")))
-        .groupBy(F.col("host").alias("of"))
-        .agg(F.max("trust").alias("trust"), F.max("distrust").alias("distrust"))
+    seeds = judged.filter("ruled IS NOT NULL").groupBy(F.col("ruled").alias("kind"), "host").agg(F.count("*").alias("seed"))
+    both = edges.select(F.lit("allow").alias("kind"), "src", "dst", "weight").union(
+        edges.select(F.lit("block"), F.col("dst"), F.col("src"), F.col("weight"))
     )
+    ranks = propagate(both, stage(seeds, "seed-pages"), damping=damping, rounds=rounds)
+    rank_of = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
+    hosts = ranks.groupBy(F.col("host").alias("of")).agg(rank_of("allow").alias("trust"), rank_of("block").alias("distrust"))
     joined = judged.join(stage(hosts, "host-ranks"), F.col("host") == F.col("of"), "left")
     trusted, suspect = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     by_host = F.when((suspect > trusted) & (suspect > LEAST_DISTRUST), "block").otherwise("allow")

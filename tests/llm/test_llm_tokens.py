@@ -45,7 +45,7 @@ def expected_ids(texts):
 def test_encoder_equals_the_library(texts):
     encoder = bpe.Encoder(bpe.read_ranks(public_tokenizers.path(bpe.VOCABULARY)), public_tokenizers.PATTERN)
     plain = [t or "" for t in texts]
-    packed = encoder.encode(plain) 
+    packed = encoder.encode(plain)
     assert [np.frombuffer(p, "<u4").tolist() for p in packed] == expected_ids(texts)
     assert packed == encoder.encode(plain)  # from memory now
     assert [encoder.decode(p).decode() for p in packed] == plain
@@ -69,12 +69,14 @@ def test_replay_takes_a_new_lower_rank_first():
 
     draw = random.Random(4)
     words += [bytes(draw.choice(b"abcd") for _ in range(draw.randint(0, 30))) for _ in range(300)]
-    assert bpe.replay(words, ranks) == [plain(w) for w in words]
+    ids, ends = bpe.replay(words, ranks)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [plain(w) for w in words]
 
 
 def test_cut_loses_nothing():
     for text in [t or "" for t in AWKWARD] + noise(3):
-        assert "".join(cut(text)) == text
+        head, parts = cut(text)
+        assert " ".join([head, *parts]) == text
 
 
 def test_op3_equals_the_library_on_the_whole_table(spark, sf_dir):
