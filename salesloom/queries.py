@@ -81,19 +81,35 @@ def query_on_documents(build: Callable[[DataFrame], DataFrame]) -> Callable:
 def a_csv_roundtrip(w):
     path = fresh_path(w.spark, "raw_csv")
     csv_files.write_csv(w["raw_sales"], path)
-    return csv_files.read_raw_csv(w.spark, path)
+    return csv_files.read_raw_csv(w.spark, path, multi_line=True)
+
+
+def _broken_lines(w: Warehouse, path: str) -> None:
+    """A file with the clean file's header, and a short and a long line for each market."""
+    names = w["clean_sales"].columns
+    short = w["dim_market"].select(F.concat_ws(",", "market_name", "market_id").alias("line"))
+    long = w["dim_market"].select(F.concat_ws(",", *["market_name"] * (len(names) + 2)).alias("line"))
+    # In one file, so that the header comes first; there are as many lines as markets, twice.
+    header = w.spark.range(1).select(F.lit(",".join(names)).alias("line"))
+    header.union(short).union(long).coalesce(1).write.text(path)
+
+
+def _clean_csv(w: Warehouse) -> DataFrame:
+    """The clean file with broken lines among its files, as read back."""
+    paths = [fresh_path(w.spark, "clean_csv"), fresh_path(w.spark, "broken_csv")]
+    csv_files.write_csv(w["clean_sales"], paths[0])
+    _broken_lines(w, paths[1])
+    return csv_files.read_raw_csv(w.spark, paths, keep_malformed=True)
 
 
 @query
 def a_typed_load(w):
-    path = fresh_path(w.spark, "clean_csv")
-    csv_files.write_csv(w["clean_sales"], path)
-    return csv_files.load_typed(csv_files.read_raw_csv(w.spark, path, multi_line=False))
+    return csv_files.load_typed(_clean_csv(w))
 
 
 @query
 def a_load_diagnostics(w):
-    return csv_files.load_diagnostics(w["raw_sales"])
+    return csv_files.load_diagnostics(_clean_csv(w))
 
 
 @query

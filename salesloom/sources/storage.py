@@ -7,6 +7,7 @@ a reader sees the same rows in the same files however often it is retried.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,14 +25,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/salesloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def write_and_read(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
+def write_and_read(
+    df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Write ``df`` as Parquet and return the written rows, with no lineage behind them."""
-    df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    # Partition columns come last when read; the select puts them back in their place.
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    return write_and_read(df, fresh_path(df.sparkSession, label))
+def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    return write_and_read(df, fresh_path(df.sparkSession, label), partition_by=partition_by)
 
 
 def drop_scratch(spark: SparkSession) -> None:

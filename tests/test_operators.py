@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesloom.operators import hierarchy, numbering, profiling, reconcile
 from salesloom.operators.quantiles import exact_quantiles
@@ -151,3 +152,36 @@ def test_load_diagnostics(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert storage.fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def _csv(tmp_path, name, text):
+    folder = tmp_path / name
+    folder.mkdir()
+    (folder / "a.csv").write_text(text)
+    return str(folder)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("order_id", "order_date", "state")])
+    path = _csv(tmp_path, "swapped", "order_date,more,order_id\n2011-01-02,x,O-1\n")
+    assert [tuple(r) for r in csv_files.read_raw_csv(spark, path, schema).collect()] == [("O-1", "2011-01-02", None)]
+
+
+def test_short_and_long_lines_are_counted_and_dropped(spark, tmp_path):
+    schema = T.StructType([T.StructField("order_id", T.StringType()), T.StructField("quantity", T.IntegerType())])
+    path = _csv(tmp_path, "broken", 'order_id,quantity\nO-1,1\nO-2\nO-3,3,3\n"O,4",x\n')
+    text = csv_files.read_raw_csv(spark, path, schema, keep_malformed=True)
+    assert sorted(map(tuple, csv_files.load_typed(text, schema).collect())) == [("O,4", None), ("O-1", 1)]
+    found = {r["column"]: tuple(r)[1:] for r in csv_files.load_diagnostics(text, schema).collect()}
+    assert found == {"order_id": (2, 2, 0, 0), "quantity": (2, 2, 1, 0)}
+
+
+def test_large_files_are_split_unless_lines_may_break(spark, tmp_path):
+    path = _csv(tmp_path, "large", "order_id,state\n" + "O-1,somewhere\n" * 20000)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        plain = csv_files.read_raw_csv(spark, path).select(F.spark_partition_id().alias("p")).distinct().count()
+        broken = csv_files.read_raw_csv(spark, path, multi_line=True).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert plain > 1 and broken == 1

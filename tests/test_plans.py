@@ -2,7 +2,8 @@
 
 import pytest
 
-from salesloom.plans import analytics, quality, views
+from salesloom.operators import profiling
+from salesloom.plans import analytics, dashboard, quality, views
 from salesloom.plans.warehouse import warehouse
 
 
@@ -63,3 +64,20 @@ def test_cleaning_needs_no_shuffle(w):
 
     plan = physical(clean(w["raw_sales"]))
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_the_year_of_a_dashboard_reaches_the_scan(w):
+    view = w["vw_sales_full"]
+    year = view.agg({"order_year": "max"}).first()[0]
+    for df in (dashboard.category_share(view, year), dashboard.drill_down(view, year)):
+        assert "PartitionFilters: [isnotnull(order_year" in physical(df) and f"= {year})" in physical(df)
+    assert "order_year" in physical(dashboard.largest_gains(view, year)).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_fact_holds_every_staging_row(w):
+    assert w["fact_sales"].count() == w["staging_sales"].count()
+
+
+def test_exact_duplicates_sort_by_more_than_their_count(w):
+    plan = physical(profiling.exact_duplicates(w["staging_sales"], ["order_id", "product_id"]))
+    assert "rangepartitioning(cnt" in plan and "order_id" in plan.split("rangepartitioning(")[1].split(")")[0]
