@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import bounded_batches, utf8
-from salesloom.llm.tokenizing import Memory, cut, missing, slices
+from salesloom.llm.tokenizing import Memory, PartEncoder, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _SLICE = 2_000_000  # characters of distinct words replayed together
@@ -35,40 +35,44 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def replay(words: list[bytes], ranks: dict[bytes, int], tokens: dict[int, bytes] | None = None) -> list[list[int]]:
-    """Token ids of each word: merges of lowest rank first, the leftmost of equal ones first.
+def replay(
+    words: list[bytes], ranks: dict[bytes, int], tokens: dict[int, bytes] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, ends): the token ids of all words, and where each word's ids end.
 
-    A word that is itself a token is that token. Empty words have no ids. A byte that the
-    vocabulary lacks raises KeyError. ``tokens`` is ``ranks`` turned round, where it is at hand.
+    Merges of lowest rank go first, of equal ones the leftmost. A word that is itself a token is that
+    token. Empty words have no ids. A byte that the vocabulary lacks raises KeyError. ``tokens`` is
+    ``ranks`` turned round, where it is at hand.
     """
     tokens = tokens or {rank: token for token, rank in ranks.items()}
     data = b"".join(words)
     n = len(data)
-    stop = list(range(1, n + 1)) + [0]  # where the token that starts here ends; 0 within a token
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    word_ends = np.cumsum(sizes)
+    letters = np.frombuffer(data, dtype=np.uint8)
+    single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
+    token_at = single[letters].tolist()  # rank of the token that starts here
+    stop = list(range(1, n + 1)) + [0]  # where that token ends; 0 within a token
     back = list(range(-1, n))  # where the token before starts; -1 at the start of a word
     closed = bytearray(n + 1)  # 1 where a word ends: no pair reaches across
-    where: dict[int, list[int]] = {}
-    queue: list[int] = []
-
-    def enter(at: int, end: int) -> int | None:
-        rank = ranks.get(data[at:end])
-        if rank is not None:
-            if rank in where:
-                where[rank].append(at)
-            else:
-                where[rank] = [at]
-                heapq.heappush(queue, rank)
-        return rank
-
+    is_closed = np.frombuffer(closed, dtype=np.uint8)
+    is_closed[word_ends] = 1
     start = 0
-    for word in words:
-        end = start + len(word)
-        closed[end] = 1
+    settled = np.zeros(n + 1, dtype=bool)
+    for word, end in zip(words, word_ends.tolist(), strict=True):
         back[start] = -1
-        if word not in ranks:
-            for i in range(start, end - 1):
-                enter(i, i + 2)
+        whole = ranks.get(word)
+        if whole is not None:
+            token_at[start] = whole
+            stop[start] = end
+            if end - start > 1:
+                stop[start + 1 : end] = [0] * (end - start - 1)
+            settled[start:end] = True
         start = end
+    where = _first_pairs(letters, is_closed, settled, ranks) if n > 1 else {}
+    queue = list(where)
+    heapq.heapify(queue)
+    rank_of, push = ranks.get, heapq.heappush
     while queue:
         rank = heapq.heappop(queue)
         token, positions = tokens[rank], sorted(where.pop(rank))
@@ -79,72 +83,94 @@ def replay(words: list[bytes], ranks: dict[bytes, int], tokens: dict[int, bytes]
             end = stop[middle]
             if data[i:end] != token:
                 continue  # one of the two has merged with another since it was entered
-            stop[i], stop[middle] = end, 0
-            formed = []
+            stop[i], stop[middle], token_at[i] = end, 0, rank
+            lower = False
             if not closed[end]:
                 back[end] = i
-                formed.append(enter(i, stop[end]))
-            if back[i] >= 0:
-                formed.append(enter(back[i], end))
-            if any(f is not None and f < rank for f in formed):
+                new = rank_of(data[i : stop[end]])
+                if new is not None:
+                    if new in where:
+                        where[new].append(i)
+                    else:
+                        where[new] = [i]
+                        push(queue, new)
+                    lower = new < rank
+            before = back[i]
+            if before >= 0:
+                new = rank_of(data[before:end])
+                if new is not None:
+                    if new in where:
+                        where[new].append(before)
+                    else:
+                        where[new] = [before]
+                        push(queue, new)
+                    lower = lower or new < rank
+            if lower:
                 # A pair of lower rank has come up and goes first; the rest of these wait for it.
                 if positions[k + 1 :]:
-                    where[rank] = positions[k + 1 :]
-                    heapq.heappush(queue, rank)
+                    where.setdefault(rank, []).extend(positions[k + 1 :])
+                    push(queue, rank)
                 break
-    result = []
-    start = 0
-    for word in words:
-        end = start + len(word)
-        if word in ranks:
-            result.append([ranks[word]])
-        else:
-            ids = []
-            while start < end:
-                ids.append(ranks[data[start : stop[start]]])
-                start = stop[start]
-            result.append(ids)
-        start = end
-    return result
-
-
-class Encoder:
-    """Encodes and decodes texts; remembers the parts it has met, within a bound."""
+    starts = np.flatnonzero(np.array(stop[:n], dtype=np.int64))
+    ids = np.array(token_at, dtype=np.int64)[starts]
+    if (ids < 0).any():
+        raise KeyError(data[starts[np.argmin(ids)]])
+    return ids, np.searchsorted(starts, word_ends)
+
+
+def _first_pairs(letters, closed, settled, ranks: dict[bytes, int]) -> dict[int, list[int]]:
+    """The index before any merge: rank of each pair of bytes, and where it stands."""
+    pairs = np.full(1 << 16, -1, dtype=np.int64)
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            pairs[token[0] << 8 | token[1]] = rank
+    found = pairs[letters[:-1].astype(np.int64) << 8 | letters[1:]]
+    found[(closed[1 : len(letters)] == 1) | settled[: len(letters) - 1]] = -1
+    order = np.argsort(found, kind="stable")
+    order = order[np.searchsorted(found[order], 0) :]
+    keys, firsts = np.unique(found[order], return_index=True)
+    groups = np.split(order, firsts[1:])
+    return {rank: group.tolist() for rank, group in zip(keys.tolist(), groups, strict=True) if len(group)}
+
+
+class Encoder(PartEncoder):
+    """Encodes and decodes texts by merge replay."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__()
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.memory = Memory()
+        self.words = Memory()
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.by_id = [self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)]
 
-    def _learn(self, parts: list[str]) -> dict[str, bytes]:
-        """Little-endian ids of each part, by one replay over their distinct words."""
+    def learn(self, parts: list[str]) -> dict[str, bytes]:
+        """One replay over the words of the parts that weren't met before, in slices."""
         split = [self.split(p) for p in parts]
-        words = list({w for ws in split for w in ws})
-        ids = replay([w.encode() for w in words], self.ranks, self.tokens)
-        packed = {w: np.array(i, dtype="<u4").tobytes() for w, i in zip(words, ids, strict=True)}
-        return {p: b"".join([packed[w] for w in ws]) for p, ws in zip(parts, split, strict=True)}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        cuts = [cut(t) for t in texts]
-        fresh, size, learnt = [], 0, {}
-        for part in missing(self.memory, cuts):
-            fresh.append(part)
-            size += len(part)
+        words, size, packed = [], 0, {}
+        for word in {w for ws in split for w in ws if w not in self.words}:
+            words.append(word)
+            size += len(word)
             if size > _SLICE:
-                learnt.update(self._learn(fresh))
-                fresh, size = [], 0
-        learnt.update(self._learn(fresh))
-        known = self.memory
-        if learnt:
-            out = [b"".join([learnt[p] if p in learnt else known[p] for p in parts]) for parts in cuts]
-            known.learn(learnt)
-            return out
-        return [b"".join([known[p] for p in parts]) for parts in cuts]
+                packed |= self._replayed(words)
+                words, size = [], 0
+        packed |= self._replayed(words)
+        known = self.words
+        out = {
+            p: b"".join([packed[w] if w in packed else known[w] for w in ws])
+            for p, ws in zip(parts, split, strict=True)
+        }
+        known.learn(packed)
+        return out
+
+    def _replayed(self, words: list[str]) -> dict[str, bytes]:
+        ids, ends = replay([w.encode() for w in words], self.ranks, self.tokens)
+        data = ids.astype("<u4").tobytes()
+        cuts = [0, *(4 * ends).tolist()]
+        return {w: data[a:b] for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
 
     def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
+        return b"".join(map(self.by_id.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
 
 
 @lru_cache(maxsize=2)

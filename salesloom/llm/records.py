@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesloom.llm.common import bounded_batches, short_lived_shuffles, stage, utf8
-from salesloom.llm.tokenizing import Memory, cut, missing, slices
+from salesloom.llm.tokenizing import PartEncoder, slices
 from salesloom.sources.storage import fresh_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,14 +72,15 @@ def read_record(data: memoryview, offset: int) -> tuple[int, np.ndarray, int]:
     return doc_id, np.frombuffer(payload[16:], dtype=f"<u{width}"), end + 1
 
 
-class IdEncoder:
-    """The library's ids of whole texts; distinct parts are encoded once and remembered, within a bound.
+class IdEncoder(PartEncoder):
+    """The library's ids of whole texts, part by part.
 
     Many parts are given to the library as one text. It can't merge across them, so its ids are
     handed back to the parts by their lengths in bytes.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
@@ -88,9 +89,27 @@ class IdEncoder:
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             # In the vocabulary of a byte-level model each character stands for one byte.
             self.lengths[i] = len(token.encode()) if i in added else len(token)
-        self.memory = Memory()
 
-    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+    def learn(self, parts: list[str]) -> dict[str, bytes]:
+        learnt: dict[str, bytes] = {"": b""}
+        groups, size = [[]], 0
+        for part in parts:
+            if not part:
+                continue
+            if part[0] == " " and not part[1:2].isspace() and not part[-1].isspace():
+                groups[-1].append(part)
+                size += len(part)
+                if size > _JOINED:
+                    groups.append([])
+                    size = 0
+            else:
+                groups.insert(0, [part])  # can't be joined: a blank could belong to either side
+        for group in groups:
+            if group:
+                learnt |= self._encoded(group)
+        return learnt
+
+    def _encoded(self, parts: list[str]) -> dict[str, bytes]:
         ids = np.asarray(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids)
         ends = np.cumsum(self.lengths[ids])
         stops = np.cumsum([len(p.encode()) for p in parts])
@@ -101,28 +120,6 @@ class IdEncoder:
         cuts = [0, *(4 * at).tolist()]
         return {p: packed[a:b] for p, a, b in zip(parts, cuts, cuts[1:], strict=False)}
 
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        cuts = [cut(t) for t in texts]
-        learnt: dict[str, bytes] = {"": b""}
-        group, size = [], 0
-        for part in missing(self.memory, cuts):
-            if not part:
-                continue
-            if part[0] != " " or part[-1].isspace() or part[1:2].isspace() or part == " ":
-                learnt |= self._learn([part])  # only parts that start with a cut can be joined
-                continue
-            group.append(part)
-            size += len(part)
-            if size > _JOINED:
-                learnt |= self._learn(group)
-                group, size = [], 0
-        if group:
-            learnt |= self._learn(group)
-        known = self.memory
-        out = [b"".join([learnt[p] if p in learnt else known[p] for p in parts]) for parts in cuts]
-        known.learn(learnt)
-        return [np.frombuffer(o, dtype="<u4") for o in out]
-
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> IdEncoder:
@@ -151,7 +148,7 @@ def write_records(
         for part in slices(batches, "text"):
             ids = encoder.encode([t.decode() for t in part.column("text").to_pylist()])
             framed = [
-                frame(payload_of(doc, np.append(i, np.uint32(end_id)), encoder.width))
+                frame(payload_of(doc, np.append(np.frombuffer(i, "<u4"), np.uint32(end_id)), encoder.width))
                 for doc, i in zip(part.column("doc_id").to_pylist(), ids, strict=True)
             ]
             yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["record"])

@@ -9,28 +9,30 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_MOST_BYTES = 200_000_000  # about what a worker's memory of parts may take before it starts anew
+_MOST_BYTES = 300_000_000  # about what a worker's memory of parts may take before it starts anew
 _TOUCHING = re.compile(r" \s|\s ").search
 _TEXTS = 4_000_000  # bytes of text taken up together
 
 
-def cut(text: str) -> list[str]:
-    """Cut a text before single spaces that stand between two characters that aren't blanks.
+def cut(text: str) -> tuple[str, list[str]]:
+    """Cut a text at single spaces that stand between two characters that aren't blanks.
 
     The pre-tokenizer's pattern lets a space only begin a match there, so encoding the parts one by
-    one gives the tokens of the whole text. Parts after the first begin with that space.
+    one gives the tokens of the whole text. Returns the first part, and the others without the
+    space that each of them begins with.
     """
     parts = text.split(" ")
-    if parts[0] and parts[-1] and not _TOUCHING(text):
-        return [parts[0], *[f" {p}" for p in parts[1:]]]
-    joined = [parts[0]]
-    for part in parts[1:]:
-        last = joined[-1]
-        if part and last and not part[0].isspace() and not last[-1].isspace():
-            joined.append(f" {part}")
-        else:
-            joined[-1] = f"{last} {part}"
-    return joined
+    if not (parts[0] and parts[-1]) or _TOUCHING(text):
+        joined = [parts[0]]
+        for part in parts[1:]:
+            last = joined[-1]
+            if part and last and not part[0].isspace() and not last[-1].isspace():
+                joined.append(part)
+            else:
+                joined[-1] = f"{last} {part}"
+        parts = joined
+    head = parts.pop(0)
+    return head, parts
 
 
 class Memory(dict):
@@ -47,8 +49,36 @@ class Memory(dict):
         self.size += added
 
 
-def missing(memory: Memory, cuts: Iterable[list[str]]) -> list[str]:
-    return list({part for parts in cuts for part in parts if part not in memory})
+class PartEncoder:
+    """Encodes texts part by part; what it has learnt of a part is remembered, within a bound."""
+
+    def __init__(self) -> None:
+        self.heads = Memory()
+        self.parts = Memory()
+
+    def learn(self, parts: list[str]) -> dict[str, bytes]:
+        """Little-endian unsigned 32-bit ids of each of some distinct parts."""
+        raise NotImplementedError
+
+    def encode(self, texts: Iterable[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        cuts = [cut(t) for t in texts]
+        found = [list(map(self.parts.get, parts)) for _, parts in cuts]
+        heads = {head for head, _ in cuts if head not in self.heads}
+        short = [i for i, known in enumerate(found) if None in known]
+        parts = {p for i in short for p, known in zip(cuts[i][1], found[i], strict=True) if known is None}
+        learnt = self.learn([*heads, *(f" {p}" for p in parts)]) if heads or parts else {}
+        fresh = {p: learnt[f" {p}"] for p in parts}
+        for i in short:
+            found[i] = [fresh[p] if known is None else known for p, known in zip(cuts[i][1], found[i], strict=True)]
+        first = {h: learnt[h] for h in heads}
+        out = [
+            b"".join([first[head] if head in first else self.heads[head], *rest])
+            for (head, _), rest in zip(cuts, found, strict=True)
+        ]
+        self.heads.learn(first)
+        self.parts.learn(fresh)
+        return out
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = _TEXTS) -> Iterator[pa.RecordBatch]:
