@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_MOST_BYTES = 300_000_000  # about what a worker's memory of parts may take before it starts anew
+_MOST_BYTES = 100_000_000  # about what one memory of a worker may take before it starts anew
 _TOUCHING = re.compile(r" \s|\s ").search
 _TEXTS = 4_000_000  # bytes of text taken up together
 
@@ -41,7 +41,7 @@ class Memory(dict):
     size = 0
 
     def learn(self, found: dict[str, bytes]) -> None:
-        added = sum(map(len, found)) + 200 * len(found)
+        added = sum(map(len, found)) + sum(map(len, found.values())) + 200 * len(found)
         if self.size + added > _MOST_BYTES:
             self.clear()
             self.size = 0
