@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_MOST_BYTES = 100_000_000  # about what one memory of a worker may take before it starts anew
+_MOST_BYTES = 200_000_000  # about what one memory of a worker may take before it starts anew
 _TOUCHING = re.compile(r" \s|\s ").search
 _TEXTS = 4_000_000  # bytes of text taken up together
 
