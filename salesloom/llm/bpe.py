@@ -128,6 +128,8 @@ def _first_pairs(letters, closed, settled, ranks: dict[bytes, int]) -> dict[int,
     found[(closed[1 : len(letters)] == 1) | settled[: len(letters) - 1]] = -1
     order = np.argsort(found, kind="stable")
     order = order[np.searchsorted(found[order], 0) :]
+    if not len(order):
+        return {}
     keys, firsts = np.unique(found[order], return_index=True)
     groups = np.split(order, firsts[1:])
     return {rank: group.tolist() for rank, group in zip(keys.tolist(), groups, strict=True) if len(group)}
