@@ -115,15 +115,17 @@ def mix(
     runs = runs.join(totals, F.col("s").eqNullSafe(F.col("source"))).select(
         "p", "s", "first", "before", "source_size", "target"
     )
-    runs = stage(runs, "runs").withColumnsRenamed({"source_size": "_source_size", "target": "_target"})
-    joined = placed.join(runs, (F.col(part) == F.col("p")) & F.col(source).eqNullSafe(F.col("s")))
-    rank = F.col("before") + F.col(place) - F.col("first")
-    expected = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
+    named = {n: unused(placed.columns, n) for n in runs.columns}
+    runs = stage(runs, "runs").withColumnsRenamed(named)
+    of = {n: F.col(name) for n, name in named.items()}
+    joined = placed.join(runs, (F.col(part) == of["p"]) & F.col(source).eqNullSafe(of["s"]))
+    rank = of["before"] + F.col(place) - of["first"]
+    expected = F.when(of["source_size"] > 0, of["target"] / of["source_size"]).otherwise(F.lit(0.0))
     offset = _offset(F.col(source), seed)
     copies = F.floor(offset + expected * (rank + 1)) - F.floor(offset + expected * rank)
     return joined.select(
         F.col(doc).alias("doc_id"), F.col(source).alias("source"), F.col(size).alias("size"),
-        F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+        of["source_size"].alias("source_size"), of["target"].alias("target"),
         F.least(copies, F.lit(most)).cast("long").alias("copies"),
         *[F.col(c).alias(f"kept_{c}") for c in keep],
     )

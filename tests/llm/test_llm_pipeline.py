@@ -53,3 +53,13 @@ def test_awkward_rows_and_empty_tables(spark, sf_dir):
         if name != "byte_bpe":
             assert out.columns == docs.columns
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_columns_named_like_inner_ones(spark, sf_dir):
+    inner = "p s n k m d y first before size place part source_size target _target tie host lines kept turn node label".split()
+    rows = [(i, f"Words of text {i} that are plain.", "en", "ab"[i % 2], 9, *[str(i)] * len(inner)) for i in range(12)]
+    docs = spark.createDataFrame(rows, ", ".join([DOCS, *(f"{c} string" for c in inner)]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        assert all(r["p"] == r["label"] == str(r["doc_id"]) for r in out.collect()), name
