@@ -173,6 +173,7 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
     bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoder.cache_clear()  # workers are used again; what they learnt while writing has no use here
         for batch in batches:
             for name, content in zip(batch.column("file"), batch.column("content"), strict=True):
                 data, at, rows = memoryview(content.as_buffer()), 0, []
