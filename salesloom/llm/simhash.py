@@ -7,7 +7,8 @@ pair within the radius is missed, whatever the data.
 
 A bucket with many fingerprints is not compared pair by pair; it is hashed again by a covering
 family over its still uncompared bits, which keeps the guarantee. Fingerprints are distinct, so a
-bucket with f uncompared bits has at most 2**f members and the refinement ends after a few levels.
+bucket with f uncompared bits has at most 2**f members. Each refinement compares about half of them
+more, and what has so few left that a task can hold all its members is compared directly.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from salesloom.llm.components import connected_components
 BITS = 64
 SEED = 42
 PAIRWISE = 256  # buckets up to this size are compared in one task; larger ones are refined
+FEW_BITS = 8  # buckets with so few uncompared bits have at most 2**8 members and are never refined
 _BLOCK = 1 << 15  # shingles hashed at a time, whatever the length of the text
 
 
@@ -39,18 +41,19 @@ def fingerprint_of(text: bytes, words: int = 3) -> int:
     tokens = text.lower().split()
     if not tokens:
         return 0
-    if len(tokens) < words:
-        shingles = [b" ".join(tokens)]
-    else:
-        shingles = list(map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)))
+    shingles = max(1, len(tokens) - words + 1)
     counts = np.zeros(BITS, dtype=np.int64)
     digest = xxhash.xxh64_intdigest
-    for start in range(0, len(shingles), _BLOCK):
-        part = shingles[start : start + _BLOCK]
-        hashes = np.fromiter((digest(s, SEED) for s in part), dtype="<u8", count=len(part))
+    for start in range(0, shingles, _BLOCK):
+        size = min(_BLOCK, shingles - start)
+        if len(tokens) < words:
+            part = [b" ".join(tokens)]
+        else:
+            part = map(b" ".join, zip(*(tokens[start + i : start + i + size] for i in range(words)), strict=True))
+        hashes = np.fromiter((digest(s, SEED) for s in part), dtype="<u8", count=size)
         bits = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, BITS)
         counts += bits.sum(axis=0, dtype=np.uint32)
-    packed = np.packbits(counts * 2 > len(shingles), bitorder="little")
+    packed = np.packbits(counts * 2 > shingles, bitorder="little")
     return int(packed.view("<i8")[0])
 
 
@@ -68,10 +71,11 @@ def fingerprint(words: int = 3):
 def covering_masks(radius: int, over: int = (1 << BITS) - 1) -> list[int]:
     """Masks over the set bits of ``over``; any ``radius`` of them are all left out by some mask."""
     bits = [i for i in range(BITS) if over >> i & 1]
-    vectors = (1 << (radius + 1)) - 1
+    # The unit vectors first: with more than ``radius`` bits, each table then compares one at least.
+    vectors = sorted(range(1, 1 << (radius + 1)), key=lambda v: (v.bit_count() > 1, v))
     masks = []
-    for v in range(1, vectors + 1):
-        kept = [b for i, b in enumerate(bits) if (v & (i % vectors + 1)).bit_count() % 2]
+    for v in vectors:
+        kept = [b for i, b in enumerate(bits) if (v & vectors[i % len(vectors)]).bit_count() % 2]
         masks.append(sum(1 << b for b in kept))
     return masks
 
@@ -80,6 +84,12 @@ def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
+def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of bits in which signed 64-bit integers differ, elementwise."""
+    # As unsigned numbers: of signed ones the bits of the absolute value would be counted.
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _links(radius: int):
     """Per bucket, a spanning forest of the links within it: never all pairs."""
 
@@ -88,7 +98,7 @@ def _links(radius: int):
             found: list[tuple[int, int]] = []
             for members in batch["members"]:
                 prints = np.asarray(members, dtype=np.int64)
-                near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= radius
+                near = differing_bits(prints[:, None], prints[None, :]) <= radius
                 fresh = np.ones(len(prints), dtype=bool)
                 for first in range(len(prints)):
                     if not fresh[first]:
@@ -114,7 +124,7 @@ def fingerprint_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     spark = prints.sparkSession
     everything = (1 << BITS) - 1
     masks = dict(enumerate(covering_masks(radius), 1))
-    table = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(_signed(m)).alias("m")) for t, m in masks.items()]))
+    table = F.explode(F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.lit(_signed(m)).cast("long").alias("m")) for t, m in masks.items()]))
     members = prints.select("fp", table.alias("x")).select(
         F.col("x.t").alias("t"), F.col("fp").bitwiseAND(F.col("x.m")).alias("k"), "fp"
     )
@@ -122,20 +132,21 @@ def fingerprint_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     while masks:
         sizes = stage(members.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
         shared = stage(members.join(sizes, ["t", "k"]), "buckets")
-        buckets = (
-            shared.filter(F.col("n") <= PAIRWISE).groupBy("t", "k").agg(F.collect_list("fp").alias("members"))
-        )
+        direct = [t for t, m in masks.items() if (everything & ~m).bit_count() <= max(FEW_BITS, radius)]
+        large = shared.filter((F.col("n") > PAIRWISE) & ~F.col("t").isin(direct))
+        small = shared.filter((F.col("n") <= PAIRWISE) | F.col("t").isin(direct))
+        buckets = small.groupBy("t", "k").agg(F.collect_list("fp").alias("members"))
         found = stage(buckets.select("members").mapInPandas(_links(radius), "a long, b long").distinct(), "links")
         edges = found if edges is None else edges.union(found)
-        large = shared.filter(F.col("n") > PAIRWISE)
         hot = [r["t"] for r in large.select("t").distinct().collect()]  # at most one row per mask
         finer, rows = {}, []
         for t in hot:
             for i, mask in enumerate(covering_masks(radius, everything & ~masks[t]), 1):
-                finer[t * 16 + i] = masks[t] | mask
-                rows.append((t, t * 16 + i, _signed(masks[t] | mask)))
+                child = t << (radius + 1) | i
+                finer[child] = masks[t] | mask
+                rows.append((t, child, _signed(masks[t] | mask)))
         if rows:
-            children = spark.createDataFrame(rows, "t int, child int, m long")
+            children = spark.createDataFrame(rows, "t long, child long, m long")
             members = large.join(F.broadcast(children), "t").select(
                 F.col("child").alias("t"), F.col("fp").bitwiseAND(F.col("m")).alias("k"), "fp"
             )

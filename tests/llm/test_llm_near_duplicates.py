@@ -61,7 +61,7 @@ def links_of(spark, prints):
     return connected_components(simhash.fingerprint_links(spark.createDataFrame(signed, "fp long").repartition(4)))
 
 
-@pytest.mark.parametrize("pairwise", [256, 4])
+@pytest.mark.parametrize("pairwise", [256, 32])
 def test_dense_buckets_are_refined_and_lose_no_link(spark, monkeypatch, pairwise):
     monkeypatch.setattr(simhash, "PAIRWISE", pairwise)
     draw = random.Random(9)
@@ -85,6 +85,27 @@ def test_dense_buckets_are_refined_and_lose_no_link(spark, monkeypatch, pairwise
     assert len(set(found.values())) == sum(len(m) > 1 for m in groups.values())
 
 
+@pytest.mark.parametrize("pairwise", [256, 2])
+def test_the_sign_bit_counts_like_any_other(spark, monkeypatch, pairwise):
+    monkeypatch.setattr(simhash, "PAIRWISE", pairwise)
+    top = 1 << 63
+    base = 0x0123456789ABCDEF
+    prints = [base, base ^ top, base ^ top ^ 6, base ^ top ^ 15, ~base % (1 << 64), top, (1 << 64) - 1, 0]
+    found = {r["node"] % (1 << 64): r["root"] for r in links_of(spark, prints).collect()}
+    assert set(found) == {base, base ^ top, base ^ top ^ 6, base ^ top ^ 15, 0, top}
+    assert len({found[p] for p in prints[:4]}) == 1 and found[0] == found[top] != found[base]
+
+
+def test_a_dense_ball_is_refined_to_the_end(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRWISE", 16)
+    monkeypatch.setattr(simhash, "FEW_BITS", 4)
+    draw = random.Random(2)
+    prints = sorted({sum(draw.getrandbits(1) << (7 * b % 64) for b in range(9)) for _ in range(100)})
+    found = {r["node"] for r in links_of(spark, prints).collect()}
+    lonely = {p for p in prints if not any(0 < (p ^ q).bit_count() <= 3 for q in prints)}
+    assert found == {p - (1 << 64) if p >> 63 else p for p in set(prints) - lonely}
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5), (None, 7)]
     found = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter
 
+from test_llm_near_duplicates import plain_components, plain_fingerprint
+
 import corpus_pipeline
 from salesloom.llm import quality
 from salesloom.llm.queries import read
@@ -30,6 +32,10 @@ def test_every_stage_keeps_its_promises(spark, sf_dir, tmp_path):
         if name == "line_dedup":
             assert counts[-1] == counts[-2]
             assert all(r["n_chars"] == len(r["text"] or "") for r in after.collect())
+        if name == "simhash_dedup":
+            rows = before.collect()
+            groups = plain_components([(r["doc_id"], plain_fingerprint(r["text"])) for r in rows])
+            assert sorted(r["doc_id"] for r in after.collect()) == sorted(set(groups))
         if name == "mix_sources":
             sizes = lambda df: Counter({r["source"]: 0 for r in df.collect()}) + sum((Counter({r["source"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))}) for r in df.collect()), Counter())
             assert abs(sum(sizes(after).values()) / sum(sizes(before).values()) - 1) < 0.15
