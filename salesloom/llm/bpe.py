@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import bounded_batches, utf8
-from salesloom.llm.tokenizing import Memory, PartEncoder, slices
+from salesloom.llm.tokenizing import EXECUTOR_BYTES, Memory, PartEncoder, slices, worker_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _SLICE = 2_000_000  # characters of distinct words replayed together
@@ -138,11 +138,12 @@ def _first_pairs(letters, closed, settled, ranks: dict[bytes, int]) -> dict[int,
 class Encoder(PartEncoder):
     """Encodes and decodes texts by merge replay."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__()
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most_bytes: int = EXECUTOR_BYTES):
+        super().__init__(most_bytes)
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.words = Memory()
+        self.memories.append(self.words)
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.by_id = [self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)]
 
@@ -175,9 +176,9 @@ class Encoder(PartEncoder):
         return b"".join(map(self.by_id.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(read_ranks(path), pattern)
+@lru_cache(maxsize=1)
+def _encoder(path: str, pattern: str, most_bytes: int) -> Encoder:
+    return Encoder(read_ranks(path), pattern, most_bytes)
 
 
 def encode_documents(
@@ -197,10 +198,11 @@ def encode_documents(
     columns are not read. The vocabulary file must be at ``path`` on every executor.
     """
     path = path or public_tokenizers.path(VOCABULARY)
+    most_bytes = worker_bytes(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, pattern)
+        encoder = _encoder(path, pattern, most_bytes)
         for part in slices(batches, "text"):
             packed = encoder.encode([t.decode() for t in part.column("text").to_pylist()])
             columns = [

@@ -4,14 +4,19 @@ A file is a sequence of records, each followed by one line feed:
 
     length of the payload   unsigned 64-bit, little-endian
     checksum of the length  unsigned 32-bit, little-endian, masked
-    payload                 format number (1 byte), bytes per id (1 byte: 2 or 4), six zero bytes,
+    payload                 format number (1 byte), bytes per id (1 byte: 2 or 4), 1 where the
+                            document has no id, else 0 (1 byte), five zero bytes,
                             document id (signed 64-bit), ids
     checksum of the payload unsigned 32-bit, little-endian, masked
 
 Checksums are CRC-32, rotated right by 15 bits with a constant added, so that a checksum of data
-that holds checksums stays sound. Files follow one another in order of document id; Spark's own
-writer commits them, so a lost or repeated task leaves no torn file, on any file system. The index
-has a row per record: file, byte offset, length, document id, ids, and ids in all files before.
+that holds checksums stays sound. Files follow one another in order of document id.
+
+The task that writes a file writes its index, too: ``kind=index`` holds a text file for each one of
+``kind=records``, of the same name, with a line per record: byte offset, length, document id (empty
+if NULL), ids, and ids of the file before it. Spark's own writer commits both together, so a lost or
+repeated task leaves no torn file and no file without its index. Readers take offsets from the index
+and seek; no file is ever loaded whole.
 """
 
 from __future__ import annotations
@@ -24,17 +29,19 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesloom.llm.common import bounded_batches, short_lived_shuffles, stage, utf8
-from salesloom.llm.tokenizing import PartEncoder, slices
+from salesloom.llm.tokenizing import PartEncoder, slices, worker_bytes
 from salesloom.sources.storage import fresh_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 FILE_BYTES = 48 << 20  # of text, before encoding
+READ_BYTES = 32 << 20  # of records that one task reads back
 _MASK = 0xA282EAD8
 _FORMAT = 1
 _JOINED = 20_000  # characters given to the tokenizer at once
@@ -52,24 +59,23 @@ def frame(payload: bytes) -> bytes:
     )
 
 
-def payload_of(doc_id: int, ids: np.ndarray, width: int) -> bytes:
-    return struct.pack("<BB6xq", _FORMAT, width, doc_id) + ids.astype(f"<u{width}").tobytes()
+def payload_of(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
+    return struct.pack("<BBB5xq", _FORMAT, width, doc_id is None, doc_id or 0) + ids.astype(f"<u{width}").tobytes()
 
 
-def read_record(data: memoryview, offset: int) -> tuple[int, np.ndarray, int]:
-    """(document id, ids, offset of the next record) of the record at ``offset``; checks all of it."""
-    length_bytes = bytes(data[offset : offset + 8])
-    if len(length_bytes) < 8 or struct.unpack_from("<I", data, offset + 8)[0] != masked(length_bytes):
-        raise ValueError(f"broken record length at byte {offset}")
-    (length,) = struct.unpack("<Q", length_bytes)
-    payload = data[offset + 12 : offset + 12 + length]
-    end = offset + 16 + length
-    if len(data) <= end or data[end] != 10 or struct.unpack_from("<I", data, end - 4)[0] != masked(payload):
-        raise ValueError(f"broken record at byte {offset}")
-    kind, width, doc_id = struct.unpack_from("<BB6xq", payload)
+def read_record(data: bytes | memoryview) -> tuple[int | None, np.ndarray]:
+    """(document id, ids) of one whole record with its line feed; checks all of it."""
+    length_bytes = bytes(data[:8])
+    if len(data) < 17 or struct.unpack_from("<I", data, 8)[0] != masked(length_bytes):
+        raise ValueError("broken record length")
+    end = 16 + struct.unpack("<Q", length_bytes)[0]
+    payload = data[12 : end - 4]
+    if len(data) != end + 1 or data[end] != 10 or struct.unpack_from("<I", data, end - 4)[0] != masked(payload):
+        raise ValueError("broken record")
+    kind, width, without_id, doc_id = struct.unpack_from("<BBB5xq", payload)
     if kind != _FORMAT or width not in (2, 4):
-        raise ValueError(f"unknown record format at byte {offset}")
-    return doc_id, np.frombuffer(payload[16:], dtype=f"<u{width}"), end + 1
+        raise ValueError("unknown record format")
+    return None if without_id else doc_id, np.frombuffer(payload[16:], dtype=f"<u{width}")
 
 
 class IdEncoder(PartEncoder):
@@ -79,8 +85,8 @@ class IdEncoder(PartEncoder):
     handed back to the parts by their lengths in bytes.
     """
 
-    def __init__(self, path: str):
-        super().__init__()
+    def __init__(self, path: str, most_bytes: int):
+        super().__init__(most_bytes)
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
@@ -121,9 +127,9 @@ class IdEncoder(PartEncoder):
         return {p: packed[a:b] for p, a, b in zip(parts, cuts, cuts[1:], strict=False)}
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> IdEncoder:
-    return IdEncoder(path)
+@lru_cache(maxsize=1)
+def _encoder(path: str, most_bytes: int) -> IdEncoder:
+    return IdEncoder(path, most_bytes)
 
 
 def write_records(
@@ -136,94 +142,123 @@ def write_records(
     end_id: int = END_ID,
     file_bytes: int = FILE_BYTES,
 ) -> None:
-    """Encode every text, add ``end_id``, and write the records to ``folder`` by ascending id.
+    """Encode every text, add ``end_id``, and write records and index to ``folder`` by ascending id.
 
-    NULL counts as empty: a record with the end id alone. Repeated ids follow each other in the
-    order of their texts. A NULL id can't be written and raises. An empty table writes no record.
+    NULL counts as empty: a record with the end id alone. Rows with a NULL id come first. Repeated
+    ids follow each other in the order of their texts. An empty table writes no record.
     """
     path = path or public_tokenizers.path(TOKENIZER)
+    most_bytes = worker_bytes(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder, offset, before = _encoder(path, most_bytes), 0, 0
         for part in slices(batches, "text"):
-            ids = encoder.encode([t.decode() for t in part.column("text").to_pylist()])
-            framed = [
-                frame(payload_of(doc, np.append(np.frombuffer(i, "<u4"), np.uint32(end_id)), encoder.width))
-                for doc, i in zip(part.column("doc_id").to_pylist(), ids, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["record"])
+            packed = encoder.encode([t.decode() for t in part.column("text").to_pylist()])
+            framed, lines, places = [], [], []
+            for doc, data in zip(part.column("doc_id").to_pylist(), packed, strict=True):
+                ids = np.append(np.frombuffer(data, "<u4"), np.uint32(end_id))
+                framed.append(frame(payload_of(doc, ids, encoder.width)))
+                size = len(framed[-1]) + 1
+                lines.append(f"{offset},{size},{'' if doc is None else doc},{len(ids)},{before}".encode())
+                places.append(offset)
+                offset, before = offset + size, before + len(ids)
+            for kind, content in (("records", framed), ("index", lines)):
+                columns = [pa.array([kind] * len(content)), pa.array(places, pa.int64()), pa.array(content, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["kind", "at", "content"])
 
     bounded_batches(docs.sparkSession)
     text = utf8(F.col(text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     ordered = rows.repartitionByRange(size // file_bytes + 1, "doc_id", "text")
-    records = ordered.sortWithinPartitions("doc_id", "text").mapInArrow(run, "record binary")
+    written = ordered.sortWithinPartitions("doc_id", "text").mapInArrow(run, "kind string, at long, content binary")
+    # The writer asks for rows sorted by kind; sorting by offset as well keeps the records in order.
+    written = written.sortWithinPartitions("kind", "at").select("kind", F.col("content").cast("string"))
     with short_lived_shuffles(docs.sparkSession):
-        records.select(F.col("record").cast("string")).write.option("lineSep", "\n").text(folder)
+        written.write.partitionBy("kind").option("lineSep", "\n").text(folder)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
-    """Read the files back: doc_id, file, offset, length, n_tokens, ids_crc32, start.
+    """The index of a folder: file, offset, length, doc_id, n_tokens, start.
 
-    Every record's framing and checksums are checked; a broken one raises. ``start`` counts the ids
-    of all records before, ``ids_crc32`` is of the ids as little-endian unsigned 32-bit integers.
+    ``start`` counts the ids of all records before it, those of earlier files included. Only index
+    files are read. A folder without any record gives no rows.
     """
-
-    bounded_batches(spark)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _encoder.cache_clear()  # workers are used again; what they learnt while writing has no use here
-        for batch in batches:
-            for name, content in zip(batch.column("file"), batch.column("content"), strict=True):
-                data, at, rows = memoryview(content.as_buffer()), 0, []
-                while at < len(data):
-                    doc_id, ids, after = read_record(data, at)
-                    rows.append((doc_id, at, after - at, len(ids), zlib.crc32(ids.astype("<u4"))))
-                    at = after
-                columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 5
-                names = ["doc_id", "offset", "length", "n_tokens", "ids_crc32"]
-                files = pa.array([name.as_py()] * len(rows), pa.string())
-                yield pa.RecordBatch.from_arrays([*columns, files], [*names, "file"])
-
-    # One file at a time: they are cut to a size that a task can hold.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    # Each value is exactly one file; reading puts small files together, this keeps large ones apart.
-    found = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").mapInArrow(
-        run, "doc_id long, offset long, length long, n_tokens long, ids_crc32 long, file string"
-    )
-    found = stage(found, "record-index")
-    within = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
+    if not _has_records(spark, folder):
+        return spark.createDataFrame([], "file string, offset long, length long, doc_id long, n_tokens long, start long")
+    columns = "offset long, length long, doc_id long, n_tokens long, within long"
+    lines = spark.read.schema(columns).csv(f"{folder}/kind=index").select(F.col("_metadata.file_name").alias("file"), "*")
     # One row per file, so this window is as small as the list of files.
-    files = found.groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    files = lines.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
     before = Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    joined = found.join(stage(files, "files"), "file")
-    start = F.col("before") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))
-    return joined.withColumn("start", start).drop("before")
+    return lines.join(stage(files, "files"), "file").select(
+        "file", "offset", "length", "doc_id", "n_tokens", (F.col("before") + F.col("within")).alias("start")
+    )
 
 
-def read_records(index: DataFrame, folder: str) -> DataFrame:
-    """doc_id and ids of the index rows given, in any order and any selection, by their offsets."""
+def _has_records(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/kind=index")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def _open_folder(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """File system and path of the record files: local, HDFS or an object store, as the folder says."""
+    if "://" not in folder and not folder.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), f"{folder}/kind=records"
+    if folder.startswith("file:"):  # with one slash or three
+        return pyarrow.fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/") + "/kind=records"
+    files, path = pyarrow.fs.FileSystem.from_uri(folder)
+    return files, f"{path}/kind=records"
+
+
+def read_records(index: DataFrame, folder: str, *, ids: bool = True) -> DataFrame:
+    """The records of the index rows given, in any selection: index columns, ``ids_crc32`` and ``ids``.
+
+    Each row is read by seeking to its offset, and its framing, checksums, document id and count are
+    checked; what doesn't fit raises. ``ids_crc32`` is of the ids as little-endian unsigned 32-bit
+    integers. Rows keep their partitions and order, so index rows as read give sequential reads.
+    """
+    names = ["file", "offset", "length", "doc_id", "n_tokens", "start"]
+    schema = "file string, offset long, length long, doc_id long, n_tokens long, start long, ids_crc32 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoder.cache_clear()  # workers are used again; what they learnt while writing has no use here
+        files, root = _open_folder(folder)
+        opened, source = None, None
         for batch in batches:
-            contents = batch.column("content")
-            for i, wanted in enumerate(batch.column("offsets").to_pylist()):
-                data = memoryview(contents[i].as_buffer())
-                read = [read_record(data, at) for at in wanted]
-                ids = pa.array([r[1].astype("int32") for r in read], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in read], pa.int64()), ids], ["doc_id", "ids"])
-
-    wanted = index.groupBy("file").agg(F.collect_list("offset").alias("offsets"))
-    files = index.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return files.join(wanted, "file").select("content", "offsets").mapInArrow(run, "doc_id long, ids array<int>")
+            for part in slices([batch], "length", by_value=True):
+                crcs, found = [], []
+                columns = [part.column(c).to_pylist() for c in names[:5]]
+                for name, offset, length, doc_id, n in zip(*columns, strict=True):
+                    if name != opened:
+                        if source is not None:
+                            source.close()
+                        opened, source = name, files.open_input_file(f"{root}/{name}")
+                    own, tokens = read_record(source.read_at(length, offset))
+                    if own != doc_id or len(tokens) != n:
+                        raise ValueError(f"{name} has another record at byte {offset} than its index says")
+                    crcs.append(zlib.crc32(tokens.astype("<u4")))
+                    if ids:
+                        found.append(tokens.astype("int32"))
+                out = [*(part.column(c) for c in names), pa.array(crcs, pa.int64())]
+                if ids:
+                    out.append(pa.array(found, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(out, [*names, "ids_crc32", "ids"][: len(out)])
+        if source is not None:
+            source.close()
+
+    bounded_batches(index.sparkSession)
+    return index.select(*names).mapInArrow(run, schema + ", ids array<int>" * ids)
 
 
 def token_records(docs: DataFrame, **options) -> DataFrame:
-    """Write ``docs`` to a new folder of record files and return the index read back from them."""
+    """Write ``docs`` to a new folder of record files, and read every record back by its index."""
     folder = fresh_path(docs.sparkSession, "records")
     write_records(docs, folder, **options)
-    return read_index(docs.sparkSession, folder)
+    index = stage(read_index(docs.sparkSession, folder), "record-index")
+    # Index rows are small beside their records, so they are dealt out by the bytes they stand for.
+    size = index.agg(F.sum("length").alias("n")).first()["n"] or 0
+    dealt = index.repartitionByRange(size // READ_BYTES + 1, "start").sortWithinPartitions("start")
+    return read_records(dealt, folder, ids=False)

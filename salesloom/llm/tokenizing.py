@@ -1,4 +1,8 @@
-"""Splitting texts where pre-tokens can't cross, and memories of bounded size."""
+"""Splitting texts where pre-tokens can't cross, and a memory of what they encode to.
+
+The memory has one bound per executor, shared by all its workers and all that each of them
+remembers.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +12,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
-_MOST_BYTES = 200_000_000  # about what one memory of a worker may take before it starts anew
+EXECUTOR_BYTES = 240_000_000  # about what the memories of all workers of an executor may take
 _TOUCHING = re.compile(r" \s|\s ").search
-_TEXTS = 4_000_000  # bytes of text taken up together
+_TEXTS = 2_000_000  # bytes of text taken up together
 
 
 def cut(text: str) -> tuple[str, list[str]]:
@@ -35,26 +40,44 @@ def cut(text: str) -> tuple[str, list[str]]:
     return head, parts
 
 
+def worker_bytes(spark: SparkSession, executor_bytes: int = EXECUTOR_BYTES) -> int:
+    """One worker's share of an executor's bound: an executor runs a worker per core."""
+    cores = spark.conf.get("spark.executor.cores", None)
+    if not cores:
+        context = spark.sparkContext
+        executors = len(context._jsc.sc().statusTracker().getExecutorInfos()) - 1  # without the driver
+        cores = -(-context.defaultParallelism // max(1, executors))
+    return executor_bytes // max(1, int(cores))
+
+
 class Memory(dict):
-    """What each part of a text encodes to. Forgets everything when it has grown too large."""
+    """What each part of a text encodes to, and about how many bytes that takes."""
 
     size = 0
 
     def learn(self, found: dict[str, bytes]) -> None:
-        added = sum(map(len, found)) + sum(map(len, found.values())) + 200 * len(found)
-        if self.size + added > _MOST_BYTES:
-            self.clear()
-            self.size = 0
+        self.size += sum(map(len, found)) + sum(map(len, found.values())) + 200 * len(found)
         self.update(found)
-        self.size += added
+
+    def forget(self) -> None:
+        self.clear()
+        self.size = 0
 
 
 class PartEncoder:
-    """Encodes texts part by part; what it has learnt of a part is remembered, within a bound."""
+    """Encodes texts part by part. What it learns is remembered until it takes ``most_bytes``."""
 
-    def __init__(self) -> None:
+    def __init__(self, most_bytes: int) -> None:
+        self.most_bytes = most_bytes
         self.heads = Memory()
         self.parts = Memory()
+        self.memories = [self.heads, self.parts]
+
+    def tidy(self) -> None:
+        """Start anew when the memories together have grown too large."""
+        if sum(m.size for m in self.memories) > self.most_bytes:
+            for memory in self.memories:
+                memory.forget()
 
     def learn(self, parts: list[str]) -> dict[str, bytes]:
         """Little-endian unsigned 32-bit ids of each of some distinct parts."""
@@ -78,13 +101,20 @@ class PartEncoder:
         ]
         self.heads.learn(first)
         self.parts.learn(fresh)
+        self.tidy()
         return out
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = _TEXTS) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in portions of about ``most`` bytes of ``column``, one row at least."""
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str, most: int = _TEXTS, by_value: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in portions of about ``most`` bytes of ``column``, one row at least.
+
+    With ``by_value`` the column's numbers are the bytes.
+    """
     for batch in batches:
-        portion = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)) // most
+        sizes = batch.column(column) if by_value else pc.binary_length(batch.column(column))
+        portion = np.cumsum(sizes.to_numpy(zero_copy_only=False)) // most
         starts = np.flatnonzero(np.diff(portion, prepend=-1))
         for start, stop in zip(starts, [*starts[1:], len(portion)], strict=True):
             yield batch.slice(start, stop - start)

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from salesloom.llm import bpe, records
 from salesloom.llm.queries import QUERIES
-from salesloom.llm.tokenizing import cut
+from salesloom.llm.tokenizing import cut, worker_bytes
 
 AWKWARD = [
     None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a \n b", "a\n\nb c", "don't we'll I'M", "x y z w", "\x1c a \x1d",
@@ -137,16 +137,39 @@ def test_shuffled_reads_by_offset(spark, tmp_path):
     some = records.read_records(index.filter("doc_id % 7 = 3"), folder).collect()
     expected = library_ids(texts)
     assert {r["doc_id"]: list(r["ids"]) for r in some} == {i: expected[i] for i in range(60) if i % 7 == 3}
+    again = records.read_records(index.orderBy("length"), folder).collect()  # in any order
+    assert {r["doc_id"]: list(r["ids"]) for r in again} == dict(enumerate(expected))
+    names = lambda kind: {p.name for p in (tmp_path / "records" / f"kind={kind}").glob("part-*")}
+    assert names("index") == names("records") == {r["file"] for r in index.collect()}
+
+
+def test_rows_without_id_come_first_and_repeated_ones_stay(spark):
+    rows = [(None, "b"), (3, "x y"), (None, None), (3, "x y"), (-2, "a"), (0, "c")]
+    index = records.token_records(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    ids = dict(zip("abc", library_ids("abc"))) | {None: [2], "x y": library_ids(["x y"])[0]}
+    ordered = [(None, None), (None, "b"), (-2, "a"), (0, "c"), (3, "x y"), (3, "x y")]
+    found = sorted(index.collect(), key=lambda r: r["start"])
+    expected = [(d, *r[1:]) for (d, _), r in zip(ordered, record_rows([ids[t] for _, t in ordered]))]
+    assert [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in found] == expected
+
+
+def test_memories_share_a_bound(spark):
+    assert worker_bytes(spark, 800) == 100  # the session has eight cores in one executor
+    encoder = bpe.Encoder(bpe.read_ranks(public_tokenizers.path(bpe.VOCABULARY)), public_tokenizers.PATTERN, 3000)
+    texts = noise(8)
+    for text, ids in zip(texts, expected_ids(texts)):
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids
+        assert sum(m.size for m in encoder.memories) <= 3000
 
 
 def test_a_flipped_bit_is_found():
     data = records.frame(records.payload_of(7, np.arange(5, dtype="<u4"), 2)) + b"\n"
-    assert records.read_record(memoryview(data), 0)[2] == len(data)
+    assert records.read_record(data)[1].tolist() == [0, 1, 2, 3, 4]
     for i in range(len(data)):
         broken = bytearray(data)
         broken[i] ^= 4
         with pytest.raises(ValueError):
-            records.read_record(memoryview(bytes(broken)), 0)
+            records.read_record(bytes(broken))
 
 
 def test_empty_tables(spark):
