@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm import (
-    bpe, exact_dedup, line_dedup, mixing, quality, records, simhash, suffixes, url_filter, vector_search,
+    bpe, exact_dedup, language_id, line_dedup, mixing, quality, records, simhash, spelling, suffixes, url_filter,
+    vector_search, whitening,
 )
 from salesloom.llm.common import bounded_batches, stage
 
@@ -86,11 +87,34 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("doc_id", "start", "n_tokens", "ids_crc32", "file", "offset", "length")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "value")
+    rows = found.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", each)
+    return rows.select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", F.col("value.whitened").alias("whitened"),
+        F.col("value.explained").alias("explained"), "identity_error",
+    )
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.predict_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.spelling_variants(read(spark, sf_dir, "documents"))
+    return found.select("word", "n", "n_near", "form", "form_n", "root")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_simhash_dedup, op3_byte_bpe, op4_nearest_neighbours, op5_suffix_dedup,
         op6_quality_classifier, op7_mixing, op8_exact_dedup, op9_line_dedup, op10_token_records,
+        op11_whitening, op12_language_id, op13_spelling_variants,
     )
 }
 
