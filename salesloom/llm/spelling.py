@@ -29,7 +29,7 @@ def word_counts(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", letters: int = LETTERS,
     occurrences: int = OCCURRENCES, typo: int | None = TYPO,
 ) -> DataFrame:
-    """(word, n): words of whole texts with at least so many letters and occurrences.
+    """(word, n): words of whole texts with at least so many letters and occurrences, written.
 
     With ``typo``, a run of which that number divides the CRC-32 of ``<id>:<run>`` loses the
     character at the remainder by its length; a NULL id is empty there.
@@ -44,8 +44,10 @@ def word_counts(
         place = (F.col("h") % F.length("word")).cast("int")
         cut = F.concat(F.substring("word", 1, place), F.substring(word, place + 2, F.length("word")))
         word = F.when(F.col("h") % typo == 0, cut).otherwise(word)
-    found = runs.select(word.alias("word")).filter(F.length("word") >= letters)
-    return found.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= occurrences)
+    counted = runs.groupBy(word.alias("word")).agg(F.count("*").alias("n")).filter(F.col("n") >= occurrences)
+    # What has become too short goes after the counts are written: that test, pushed down to the
+    # runs, would work out every word a second time.
+    return stage(counted, "words").filter(F.length("word") >= letters)
 
 
 def _with_chunks(rows: DataFrame) -> DataFrame:
@@ -138,9 +140,7 @@ def spelling_variants(
     """
     if ratio <= 1:
         raise ValueError("a form must occur more often than its word")
-    words = stage(
-        word_counts(docs, id_col=id_col, text_col=text_col, letters=letters, occurrences=occurrences, typo=typo), "words"
-    )
+    words = word_counts(docs, id_col=id_col, text_col=text_col, letters=letters, occurrences=occurrences, typo=typo)
     pairs = stage(near_pairs(words, group), "all-near-pairs")
     sides = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("n_b").alias("near_n")).union(
         pairs.select("b", "a", "n_a")
