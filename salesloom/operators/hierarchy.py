@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.functions.dates import calendar_columns
@@ -57,6 +57,30 @@ def level_table(keyed: DataFrame, level: str, parent: str | None = None) -> Data
     return keyed.select(*columns).distinct()
 
 
+def closure(keyed: DataFrame, levels: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """(depth, level, ancestor_id, ancestor_name, leaf_id): every member above every leaf, and itself.
+
+    ``keyed`` has a row per leaf with ``<level>_id`` and the name of every level above it, topmost
+    level first. Depth 0 is everything, whose id is 0. Whatever is grouped by leaf rolls up to any
+    level with one join on ``leaf_id``.
+    """
+    names = names or [f"{level}_name" for level in levels]
+    leaf = F.col(f"{levels[-1]}_id").alias("leaf_id")
+
+    def member(depth: int, level: str, key: Column, name: Column) -> Column:
+        return F.struct(
+            F.lit(depth).alias("depth"), F.lit(level).alias("level"), key.cast("long").alias("ancestor_id"),
+            name.cast("string").alias("ancestor_name"),
+        )
+
+    whole = member(0, "all", F.lit(0), F.lit(None))
+    above = [
+        member(depth, level, F.col(f"{level}_id"), F.col(name))
+        for depth, (level, name) in enumerate(zip(levels, names, strict=True), 1)
+    ]
+    return keyed.select(F.explode(F.array(whole, *above)).alias("a"), leaf).select("a.*", "leaf_id")
+
+
 def first_product(paths: DataFrame) -> DataFrame:
     """One row per (product_id, product_name); the smallest category path wins a clash."""
     return (

@@ -92,6 +92,8 @@ def new_members(
     else:
         rows = rows.select(*unique).distinct()
     fresh = materialize(rows.join(existing.select(*unique), list(unique), "left_anti"), "fresh")
+    if fresh.isEmpty():
+        return existing.limit(0)
     top = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).first()["top"]
     numbered = number_rows(fresh, unique, key, start=top + 1)
     return numbered.select(*existing.columns)

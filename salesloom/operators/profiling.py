@@ -162,15 +162,16 @@ def unique_text_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def digit_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Most and fewest digits before and after the point, per number column."""
-    measures = {
-        "max_int_digits": lambda c: F.max(integer_digits(c)),
-        "max_decimal_digits": lambda c: F.max(decimal_digits(c)),
-        "min_int_digits": lambda c: F.min(integer_digits(c)),
-        "min_decimal_digits": lambda c: F.min(decimal_digits(c)),
-    }
-    row = df.agg(
+    # Counted first and then compared: each value is printed once, not once per measure.
+    counted = df.select(
+        *[F.struct(integer_digits(F.col(c)).alias("i"), decimal_digits(F.col(c)).alias("d")).alias(c) for c in columns]
+    )
+    row = counted.agg(
         *[
-            F.struct(*[build(F.col(c)).alias(name) for name, build in measures.items()]).alias(c)
+            F.struct(
+                F.max(f"{c}.i").alias("max_int_digits"), F.max(f"{c}.d").alias("max_decimal_digits"),
+                F.min(f"{c}.i").alias("min_int_digits"), F.min(f"{c}.d").alias("min_decimal_digits"),
+            ).alias(c)
             for c in columns
         ]
     )

@@ -317,7 +317,7 @@ ORACLE: dict[str, str] = {}
 
 _WITH_SHORT_CALENDAR = (
     "e_anti", "e_left_null", "e_match_rate", "e_cross_one_row", "j01_loading_gaps",
-    "j04_layer_totals", "j06_load_overview", "j07_key_orphans", "j10_order_match",
+    "j01_loading_gaps_by_digest", "j03_layer_digests", "j04_layer_totals", "j06_load_overview", "j07_key_orphans", "j10_order_match",
 )
 
 
@@ -378,6 +378,19 @@ FROM (SELECT customer_name, segment, bool_or(order_date < DATE '1996-01-01') AS
 _oracle("a_view", "SELECT market_name, count(*) AS row_count FROM vfull GROUP BY market_name")
 _oracle("a_table_shape", "SELECT CAST(20 AS BIGINT) AS column_count, count(*) AS row_count FROM staging")
 
+_ISO = "^ *[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} *$"
+_BAD = {c: f"NOT regexp_matches({c}, '{_ISO}')" for c in ("order_date", "ship_date")} | {
+    c: f"TRY_CAST({c} AS {_TYPES[c]}) IS NULL" for c in NUMBER_COLUMNS}
+_REASONS = {"order_date": "date", "ship_date": "date"} | {
+    c: _TYPES[c].lower() for c in NUMBER_COLUMNS}
+_SHORT_LINE = "market || ',' || market_id"
+_LONG_LINE = "rtrim(repeat(market || ',', 23), ',')"
+_oracle("a_load_warnings", "SELECT \"column\", raw, reason, count(*) AS warnings FROM (" + _union([
+    *[f"SELECT '{c}' AS \"column\", {c} AS raw, 'not {_REASONS[c]}' AS reason FROM raw "
+      f"WHERE {c} IS NOT NULL AND {c} <> '' AND {test}" for c, test in _BAD.items()],
+    *[f"SELECT NULL, {line}, 'malformed line' FROM (SELECT DISTINCT market, market_id FROM geo)"
+      for line in (_SHORT_LINE, _LONG_LINE)]]) + ") GROUP BY ALL")
+
 _TABLE_ROWS = {
     "staging_sales": "FROM staging", "dim_date": "FROM cal", "dim_customer": "FROM cust",
     "dim_market": "FROM (SELECT DISTINCT market_id FROM geo)",
@@ -654,9 +667,10 @@ SELECT order_year AS year, order_quarter AS quarter, order_month AS month,
        category_name, sub_category_name, count(*) AS row_count,
        CAST(sum(quantity) AS BIGINT) AS total_quantity
 FROM vfull GROUP BY ALL""")
-_BAND = """CASE WHEN discount > 0.30 OR discount IS NULL THEN 'High (>30%)'
-            WHEN discount > 0.10 THEN 'Medium (11–30%)'
-            WHEN discount <> 0 THEN 'Low (0–10%)' ELSE 'No Discount' END"""
+# Labels and limits of the discount bands; a missing discount is high.
+_BAND = """CASE WHEN discount = 0 THEN 'No Discount'
+            WHEN discount <= 0.10 THEN 'Low (0–10%)'
+            WHEN discount <= 0.30 THEN 'Medium (11–30%)' ELSE 'High (>30%)' END"""
 _oracle("f_alias_key", f"SELECT {_BAND} AS band, count(*) AS row_count FROM fact GROUP BY band")
 _oracle("f_having", """
 SELECT raw_product_id, count(*) AS row_count, CAST(sum(quantity) AS BIGINT) AS total_quantity
@@ -754,13 +768,17 @@ def _equal(left: str, right: str) -> str:
     return " AND ".join(f"{left}.{c} = {right}.{c}" for c in MEASURES.split(", "))
 
 
-_oracle("j01_loading_gaps", f"""
+_GAPS = f"""
 SELECT s.order_id, p.raw_product_id, p.product_name, p.product_id AS dim_product_id,
        {', '.join(f'CAST(s.{c} AS DOUBLE) AS {c}' if c in _DOUBLES else 's.' + c
                   for c in MEASURES.split(', '))}
 FROM staging s JOIN prod p ON p.raw_product_id = s.product_id AND p.product_name = s.product_name
 WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE f.order_id = s.order_id
-                  AND f.product_id = p.product_id AND {_equal('f', 's')})""")
+                  AND f.product_id = p.product_id AND {_equal('f', 's')})"""
+_oracle("j01_loading_gaps", _GAPS)
+
+
+_oracle("j01_loading_gaps_by_digest", _GAPS)
 
 
 def _phantoms(kept: str) -> str:
@@ -792,6 +810,56 @@ _oracle("j03_multiset_difference_planted", _difference(
     f"SELECT order_id, product_id AS raw_product_id, product_name, {MEASURES} FROM doubled"))
 
 
+for _name in ("j02_phantom_rows", "j03_multiset_difference"):
+    for _end in ("", "_planted"):
+        ORACLE[f"{_name}_by_digest{_end}"] = ORACLE[f"{_name}{_end}"]
+_oracle("j03_layer_digests", f"""
+SELECT CAST(level AS INT) AS level, period, CAST(sum(s) AS BIGINT) AS left_rows,
+       CAST(sum(f) AS BIGINT) AS right_rows, bool_or(s <> f) AS differs
+FROM (SELECT day, sum(s) AS s, sum(f) AS f
+      FROM (SELECT order_date AS day, order_id, product_id AS raw_product_id, product_name, {MEASURES},
+                   1 AS s, 0 AS f FROM staging
+            UNION ALL
+            SELECT order_date_id, order_id, raw_product_id, product_name, {MEASURES}, 0, 1
+            FROM fact JOIN prod ON fact.product_id = prod.product_id)
+      GROUP BY day, {COMPARED})
+CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS level)
+CROSS JOIN LATERAL (SELECT CASE level WHEN 1 THEN 'all' ELSE
+                    substr(CAST(day AS VARCHAR), 1, [0, 4, 7, 10][level]) END AS period)
+GROUP BY level, period""")
+
+
+for _name in ("f_group_concat", "f_two_level"):
+    ORACLE[f"{_name}_clustered"] = ORACLE[_name]
+_oracle("f_reaggregate_sketch", """
+SELECT category_name, count(DISTINCT order_id) AS distinct_orders, true AS within
+FROM vfull GROUP BY category_name""")
+
+
+def _closure(leaf: str, source: str, *levels: tuple[str, str]) -> str:
+    return _union([
+        f"SELECT 0 AS depth, 'all' AS level, 0 AS ancestor_id, NULL AS ancestor_name, {leaf} AS leaf_id FROM {source}",
+        *[f"SELECT {depth}, '{level}', {level}_id, {name}, {leaf} FROM {source}"
+          for depth, (level, name) in enumerate(levels, 1)]])
+
+
+_GEO_CLOSURE = _closure("state_id", "geo", *[(c, c) for c in GEO.split(", ")])
+_oracle("d_geography_closure", _GEO_CLOSURE)
+_oracle("d_product_closure", _closure(
+    "product_id", "prod", ("category", "category"), ("sub_category", "sub_category"), ("product", "product_name")))
+_oracle("l6_roll_up_by_closure", _union([
+    f"SELECT {depth} AS depth, '{level}' AS level, {number} AS ancestor_id, {name} AS ancestor_name, "
+    f"{_money('sum(sales)')} AS total_sales, {_money('sum(profit)')} AS total_profit FROM vfull GROUP BY ALL"
+    for depth, (level, number, name) in enumerate([("all", "0", "NULL"), *[
+        (c, f"{c}_id", f"{c}_name") for c in GEO.split(", ")]])]))
+_oracle("c_merged_profiles", _union([
+    f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) FILTER ({c} IS NULL) AS missing, "
+    + (f"CAST(round(sum({c}), 2) AS DOUBLE)" if c in NUMBER_COLUMNS else "CAST(NULL AS DOUBLE)")
+    + " AS total, true AS distinct_within, "
+    + ("true" if c in NUMBER_COLUMNS else "CAST(NULL AS BOOLEAN)") + " AS median_within FROM staging"
+    for c in STAGING.names if c != "market"]))
+
+
 def _layer(source: str, rows: str, product: str) -> str:
     return (f"SELECT '{source}' AS source, count(*) AS n, sum(sales) AS s, sum(quantity) AS q, "
             f"sum(profit) AS p, count(DISTINCT order_id || '-' || {product}) AS o FROM {rows}")
@@ -864,6 +932,7 @@ SELECT {_shown(_LINE_KEY.split(', '))}, count(*) AS line_count,
        string_agg(DISTINCT ship_mode, ',') AS ship_modes
 FROM loaded_doubled GROUP BY {_LINE_KEY} HAVING count(*) > 1"""
 _oracle("j11_repeated_lines_all", _REPEATED)
+_oracle("j11_repeated_lines_clustered", _REPEATED)
 _oracle("j11_repeated_lines", f"SELECT * FROM ({_REPEATED}) ORDER BY {_LINE_KEY} LIMIT 100")
 _oracle("j12_geography_chain", """
 SELECT market AS market_name, region AS region_name, country AS country_name, state AS state_name
@@ -891,6 +960,16 @@ _oracle("k02_sales_summary", f"""
 SELECT {SUMMARY_KEYS}, CAST(total_sales AS DOUBLE) AS total_sales,
        CAST(total_qty AS BIGINT) AS total_qty, CAST(total_profit AS DOUBLE) AS total_profit,
        order_count, true_margin FROM vsum""")
+# Loaded in batches, all but the surrogate keys is as in one load.
+ORACLE["a_durable_load"] = ORACLE["k02_sales_summary"]
+_oracle("a_incremental_load", "SELECT * EXCLUDE (sales_id, customer_id, state_id, country_id, region_id, "
+        "market_id, product_id, sub_category_id, category_id) REPLACE (CAST(sales AS DOUBLE) AS sales, "
+        "CAST(discount AS DOUBLE) AS discount, CAST(profit AS DOUBLE) AS profit, "
+        "CAST(shipping_cost AS DOUBLE) AS shipping_cost, "
+        "CAST(shipping_days AS INT) AS shipping_days) FROM vfull")
+_oracle("a_catalog_views", """
+SELECT category_name, count(*) AS row_count, CAST(sum(quantity) AS BIGINT) AS total_quantity
+FROM vfull GROUP BY category_name""")
 _SQP = (f"{_money('sum(sales)')} AS total_sales, CAST(sum(quantity) AS BIGINT) AS total_quantity, "
         f"{_money('sum(profit)', 5)} AS total_profit")
 _oracle("k03_product_by_month", f"""
@@ -945,9 +1024,12 @@ def _years(*dimensions: str) -> str:
 
 
 def _grown(*dimensions: str) -> str:
-    years = _years(*dimensions)
-    return (f"(WITH y AS {years} SELECT a.*, b.s AS ps, b.p AS pp FROM y a LEFT JOIN y b "
-            "ON a.dimension = b.dimension AND a.member = b.member AND a.year = b.year + 1)")
+    """Yearly sums next to those of the year before, NULL where that year has no rows."""
+    before = "OVER (PARTITION BY dimension, member ORDER BY year)"
+    adjacent = f"lag(year) {before} = year - 1"
+    return (f"(WITH y AS MATERIALIZED {_years(*dimensions)} SELECT *, "
+            f"CASE WHEN {adjacent} THEN lag(s) {before} END AS ps, "
+            f"CASE WHEN {adjacent} THEN lag(p) {before} END AS pp FROM y)")
 
 
 _oracle("l1_year_over_year", f"""

@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.numbers import money
-from salesloom.operators.reconcile import missing_from, repeat_rows, side_counts
+from salesloom.operators import bitmaps
+from salesloom.operators.reconcile import (
+    differing_counts, digest_tree, missing_from, repeat_rows, side_counts,
+)
 from salesloom.schemas import MEASURES
 
 Tables = Mapping[str, DataFrame]
@@ -24,18 +27,38 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 # --- staging against fact -------------------------------------------------
 
 
-def staging_lines(tables: Tables) -> DataFrame:
+DAY = "order_day"
+
+
+def staging_lines(tables: Tables, *more: Column) -> DataFrame:
     return (
         tables["staging_sales"]
         .withColumnRenamed("product_id", "raw_product_id")
         .withColumn("discount", F.col("discount").cast("decimal(6,5)"))
-        .select(COMPARED)
+        .select(*more, *COMPARED)
     )
 
 
-def fact_lines(tables: Tables) -> DataFrame:
+def fact_lines(tables: Tables, *more: Column) -> DataFrame:
     """Fact rows with the natural product key; rows of unknown products drop out."""
-    return tables["fact_sales"].join(tables["dim_product"], "product_id").select(COMPARED)
+    return tables["fact_sales"].join(tables["dim_product"], "product_id").select(*more, *COMPARED)
+
+
+def _dated_lines(tables: Tables) -> tuple[DataFrame, DataFrame]:
+    staging = staging_lines(tables, F.col("order_date").alias(DAY))
+    return staging, fact_lines(tables, F.col("order_date_id").alias(DAY))
+
+
+def _line_counts(tables: Tables, by_digest: bool) -> DataFrame:
+    """Rows of staging (left) and fact (right); by digest, only of lines that may differ."""
+    if by_digest:
+        return differing_counts(*_dated_lines(tables), COMPARED, DAY)
+    return side_counts(staging_lines(tables), fact_lines(tables), COMPARED)
+
+
+def layer_digests(tables: Tables) -> DataFrame:
+    """Checksums of staging and fact from the whole down to the days, and in how many leaves they differ."""
+    return digest_tree(*_dated_lines(tables), COMPARED, DAY).orderBy("level", "period")
 
 
 def _product_key(tables: Tables, name: str) -> DataFrame:
@@ -44,29 +67,31 @@ def _product_key(tables: Tables, name: str) -> DataFrame:
     )
 
 
-def loading_gaps(tables: Tables, null_safe: bool = False) -> DataFrame:
-    """Staging rows of known products that no fact row equals in order, product and measures."""
-    counts = side_counts(staging_lines(tables), fact_lines(tables), COMPARED)
-    gaps = missing_from(counts, "left_rows", "right_rows", COMPARED, null_safe)
+def loading_gaps(tables: Tables, null_safe: bool = False, by_digest: bool = False) -> DataFrame:
+    """Staging rows of known products that no fact row equals in order, product and measures.
+
+    ``by_digest``, here and below, compares checksums of both layers first and moves only rows of
+    those parts of a day that differ: where the layers agree, none.
+    """
+    gaps = missing_from(_line_counts(tables, by_digest), "left_rows", "right_rows", COMPARED, null_safe)
     keyed = gaps.join(_product_key(tables, "dim_product_id"), ["raw_product_id", "product_name"])
     columns = ["order_id", "raw_product_id", "product_name", "dim_product_id", *MEASURES]
     return repeat_rows(keyed.select(*columns, "left_rows"), "left_rows")
 
 
-def phantom_rows(tables: Tables, null_safe: bool = False) -> DataFrame:
+def phantom_rows(tables: Tables, null_safe: bool = False, by_digest: bool = False) -> DataFrame:
     """Fact rows of known products that no staging row equals."""
-    counts = side_counts(fact_lines(tables), staging_lines(tables), COMPARED)
-    extra = missing_from(counts, "left_rows", "right_rows", COMPARED, null_safe)
+    extra = missing_from(_line_counts(tables, by_digest), "right_rows", "left_rows", COMPARED, null_safe)
     keyed = extra.join(_product_key(tables, "product_id"), ["raw_product_id", "product_name"])
     columns = ["order_id", "product_id", "raw_product_id", "product_name", *MEASURES]
-    return repeat_rows(keyed.select(*columns, "left_rows"), "left_rows")
+    return repeat_rows(keyed.select(*columns, "right_rows"), "right_rows")
 
 
-def multiset_difference(tables: Tables) -> DataFrame:
+def multiset_difference(tables: Tables, by_digest: bool = False) -> DataFrame:
     """Rows the two layers hold a different number of times; sees lost copies of equal rows."""
-    counts = side_counts(staging_lines(tables), fact_lines(tables), COMPARED)
     return (
-        counts.where("left_rows <> right_rows")
+        _line_counts(tables, by_digest)
+        .where("left_rows <> right_rows")
         .withColumnsRenamed({"left_rows": "staging_rows", "right_rows": "fact_rows"})
         .withColumn("delta", F.col("staging_rows") - F.col("fact_rows"))
     )
@@ -154,13 +179,15 @@ DISTINCT_MEASURES = [
 
 
 def distinct_profile(df: DataFrame, source: str, approximate: bool = False) -> DataFrame:
-    """Row count and nine distinct counts; ``approximate`` avoids the ninefold expansion."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(
-        F.lit(source).alias("source"),
-        F.count("*").alias("total_rows"),
-        *[count(c).alias(f"uniq_{c}") for c in DISTINCT_MEASURES],
-    )
+    """Row count and nine distinct counts, exact from bitmaps and groupings of one column each."""
+    if approximate:
+        counts = [F.approx_count_distinct(c).alias(f"uniq_{c}") for c in DISTINCT_MEASURES]
+        return df.agg(F.lit(source).alias("source"), F.count("*").alias("total_rows"), *counts)
+    rows = df.agg(F.lit("*").alias("column"), F.count("*").alias("distinct_count"))
+    found = bitmaps.distinct_counts(df, DISTINCT_MEASURES).unionAll(rows)
+    of = lambda c: F.max(F.when(F.col("column") == c, F.col("distinct_count")))
+    counts = [of(c).alias(f"uniq_{c}") for c in DISTINCT_MEASURES]
+    return found.agg(F.lit(source).alias("source"), of("*").alias("total_rows"), *counts)
 
 
 def distinct_comparison(tables: Tables, approximate: bool = False) -> DataFrame:

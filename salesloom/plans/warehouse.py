@@ -11,7 +11,7 @@ from salesloom.operators import hierarchy as H
 from salesloom.operators.cleaning import clean
 from salesloom.operators.numbering import file_line
 from salesloom.plans import views as V
-from salesloom.schemas import TABLES
+from salesloom.schemas import SUMMARY_KEYS, TABLES
 from salesloom.sources.storage import materialize
 from salesloom.sources.testdata import raw_sales, staging_sales
 
@@ -66,6 +66,9 @@ class Warehouse(Mapping[str, DataFrame]):
             "fact_sales": self._fact_sales,
             "vw_sales_full": lambda: V.sales_full(self),
             "vw_sales_summary": lambda: V.sales_summary(self),
+            "summary_sketches": lambda: V.sales_summary(self, with_sketch=True).select(
+                *SUMMARY_KEYS, "order_sketch"
+            ),
         }
         if raw is not None:
             self._builders["raw_sales"] = raw
@@ -86,7 +89,7 @@ class Warehouse(Mapping[str, DataFrame]):
     def with_calendar(self, first: str, last: str) -> Warehouse:
         """The same load under another calendar; staging and the other dimensions are shared."""
         other = Warehouse(self.spark, lambda: self["staging_sales"], (first, last))
-        dated = {"dim_date", "fact_sales", "vw_sales_full", "vw_sales_summary"}
+        dated = {"dim_date", "fact_sales", "vw_sales_full", "vw_sales_summary", "summary_sketches"}
         for name in other._builders.keys() - dated:
             other._ready[name] = self[name]
         return other

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +16,16 @@ from salesloom.functions.text import collapse_blanks, fold_accents, is_ascii, pr
 from salesloom.operators import cleaning as B
 from salesloom.operators import hierarchy as H
 from salesloom.operators import profiling as C
+from salesloom.operators import sketches as S
 from salesloom.plans import analytics as K
 from salesloom.plans import dashboard as L
 from salesloom.plans import quality as J
 from salesloom.plans import views as V
+from salesloom.plans.store import Store
 from salesloom.plans.warehouse import Warehouse, short_warehouse, warehouse
 from salesloom.schemas import (
     CODE_COLUMNS, DUPLICATE_KEY, NAME_COLUMNS, NUMBER_COLUMNS, STAGING, SUMMARY_KEYS, TABLES,
-    TEXT_COLUMNS,
+    TEXT_COLUMNS, VIEW_COLUMNS,
 )
 from salesloom.sources import csv_files, tables
 from salesloom.sources.storage import fresh_path, materialize
@@ -126,28 +129,90 @@ def a_report_tables(w):
     )
 
 
-def _new_table(w: Warehouse, base: str, schema: T.StructType) -> str:
-    name = f"{base}_{uuid.uuid4().hex}"
-    tables.create_table(w.spark, name, schema, fresh_path(w.spark, base))
-    return name
+@contextmanager
+def _new_table(w: Warehouse, base: str, schema: T.StructType) -> Iterator[tuple[str, str]]:
+    """Name and folder of a new empty table that leaves the catalog afterwards; its files stay."""
+    name, path = f"{base}_{uuid.uuid4().hex}", fresh_path(w.spark, base)
+    tables.create_table(w.spark, name, schema, path)
+    try:
+        yield name, path
+    finally:
+        w.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @query
 def a_append(w):
-    name = _new_table(w, "staging_sales", STAGING)
     early = F.col("order_date") < "1998-01-01"
-    tables.append(w["staging_sales"].where(early), name)
-    tables.append(w["staging_sales"].where(~early), name)
-    return w.spark.table(name)
+    with _new_table(w, "staging_sales", STAGING) as (name, path):
+        tables.append(w["staging_sales"].where(early), name)
+        tables.append(w["staging_sales"].where(~early), name)
+    return w.spark.read.schema(STAGING).parquet(path)
 
 
 @query
 def a_insert_ignore(w):
-    name = _new_table(w, "dim_customer", TABLES["dim_customer"])
+    schema = TABLES["dim_customer"]
     early = w["staging_sales"].where(F.col("order_date") < "1996-01-01")
-    for batch in (early, w["staging_sales"], w["staging_sales"]):
-        tables.append_new_members(batch, name, ["customer_name", "segment"], "customer_id")
-    return w.spark.table(name)
+    with _new_table(w, "dim_customer", schema) as (name, path):
+        for batch in (early, w["staging_sales"], w["staging_sales"]):
+            tables.append_new_members(batch, name, ["customer_name", "segment"], "customer_id")
+    return w.spark.read.schema(schema).parquet(path)
+
+
+@query
+def a_load_warnings(w):
+    """How often each bad cell occurs in the uncleaned file and among the broken lines."""
+    paths = [fresh_path(w.spark, "raw_csv"), fresh_path(w.spark, "broken_csv")]
+    csv_files.write_csv(w["raw_sales"], paths[0])
+    _broken_lines(w, paths[1])
+    raw = csv_files.read_raw_csv(w.spark, paths[0], multi_line=True, keep_place=True)
+    broken = csv_files.read_raw_csv(w.spark, paths[1], keep_malformed=True, keep_place=True)
+    found = csv_files.load_warnings(raw).unionByName(csv_files.load_warnings(broken))
+    return found.groupBy("column", "raw", "reason").agg(F.count("*").alias("warnings"))
+
+
+_stores: dict[tuple[str, int], Store] = {}
+
+
+def _in_batches(w: Warehouse) -> Store:
+    """A store, loaded once per application in batches of days: the second overlaps the first and comes twice."""
+    key = (w.spark.sparkContext.applicationId, id(w))
+    if key not in _stores:
+        store = Store(w.spark, fresh_path(w.spark, "store"))
+        day = F.col("order_date")
+        second = day.between("1997-07-01", "1999-06-30")
+        for batch in (day < "1998-01-01", second, second, day > "1999-06-30"):
+            store.load(w["staging_sales"].where(batch))
+        _stores[key] = store
+    return _stores[key]
+
+
+@query
+def a_durable_load(w):
+    """The summary, from the files alone: another store object knows nothing but the folder."""
+    return Store(w.spark, _in_batches(w).root).open()["vw_sales_summary"]
+
+
+@query
+def a_incremental_load(w):
+    dated = ("order_id", "order_date_id", "ship_date_id", "raw_product_id")
+    keys = [c for c in VIEW_COLUMNS if c.endswith("_id") and c not in dated]
+    return _in_batches(w).open()["vw_sales_full"].drop(*keys)
+
+
+@query
+def a_catalog_views(w):
+    store = _in_batches(w)
+    database = f"salesloom_{uuid.uuid4().hex}"
+    store.register(database, 1)
+    store.register(database)  # the views turn to the newest version
+    found = w.spark.sql(
+        f"SELECT category_name, count(*) AS row_count, sum(quantity) AS total_quantity "
+        f"FROM {database}.vw_sales_full GROUP BY category_name"
+    )
+    found = materialize(found, "catalog_views")
+    w.spark.sql(f"DROP DATABASE {database} CASCADE")  # of external tables, whose files stay
+    return found
 
 
 @query
@@ -266,6 +331,27 @@ def c_describe(w):
     )
 
 
+@query
+def c_merged_profiles(w):
+    """Profiles stored per market and merged: exact counts and sums, and whether estimates keep their bounds."""
+    rows = w["staging_sales"]
+    stored = materialize(S.profile(rows, ["market"]), "profiles")
+    merged = S.estimates(S.merged(stored), [0.5])
+    exact = C.distinct_counts(rows).withColumnRenamed("unique", "exact")
+    numbers = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)]
+    middle = rows.select(*[F.col(c).cast("double").alias(c) for c in numbers]).unpivot([], numbers, "column", "value")
+    ranked = middle.join(merged.select("column", F.col("q50").alias("q")), "column").groupBy("column").agg(
+        F.avg((F.col("value") < F.col("q")).cast("int")).alias("below"),
+        F.avg((F.col("value") <= F.col("q")).cast("int")).alias("reached"),
+    )
+    near = (F.col("below") <= 0.5 + S.RANK_ERROR) & (F.col("reached") >= 0.5 - S.RANK_ERROR)
+    found = merged.join(exact, "column").join(ranked.select("column", near.alias("median_within")), "column", "left")
+    within = F.abs(F.col("distinct") - F.col("exact")) <= F.col("exact") * S.DISTINCT_ERROR
+    return found.select(
+        "column", "rows", "missing", money(F.col("total"), 2).alias("total"), within.alias("distinct_within"), "median_within"
+    )
+
+
 @query
 def c_missing(w):
     return C.missing(w["raw_sales"])
@@ -376,6 +462,16 @@ def d_sub_category(w):
     return w["dim_sub_category"]
 
 
+@query
+def d_geography_closure(w):
+    return H.closure(w["flat_geography"], V.GEOGRAPHY)
+
+
+@query
+def d_product_closure(w):
+    return H.closure(w["flat_product"], ["category", "sub_category", "product"])
+
+
 @query
 def d_product(w):
     return w["dim_product"]
@@ -594,6 +690,53 @@ def f_group_concat(w):
     )
 
 
+_clustered: dict[tuple[str, int, str], str] = {}
+
+
+def _by_order(w: Warehouse, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Rows stored in buckets of orders, once per warehouse and application."""
+    key = (w.spark.sparkContext.applicationId, id(w), label)
+    if key not in _clustered:
+        name = f"{label}_{uuid.uuid4().hex}"
+        buckets = int(w.spark.conf.get("spark.sql.shuffle.partitions"))
+        tables.create_clustered(build(), name, "order_id", buckets, fresh_path(w.spark, name))
+        _clustered[key] = name
+    return w.spark.table(_clustered[key])
+
+
+def _fact_by_order(w: Warehouse) -> DataFrame:
+    return _by_order(w, "fact_by_order", lambda: w["fact_sales"])
+
+
+@query
+def f_group_concat_clustered(w):
+    return _fact_by_order(w).groupBy("order_id").agg(
+        F.array_join(F.array_sort(F.collect_set("ship_mode")), ",").alias("ship_modes")
+    )
+
+
+@query
+def f_two_level_clustered(w):
+    lines = _fact_by_order(w).groupBy("order_id").agg(F.count("*").alias("lines"))
+    return lines.groupBy("lines").agg(F.count("*").alias("orders"))
+
+
+@query
+def j11_repeated_lines_clustered(w):
+    loaded = lambda: V.load_fact(with_repeated_lines(w["staging_sales"]), w, *w.calendar)
+    return J.repeated_lines(_by_order(w, "repeated_by_order", loaded))
+
+
+@query
+def f_reaggregate_sketch(w):
+    """Distinct orders per category, exact, and whether the stored sketches' estimate is within 5 %."""
+    exact = K.distinct_orders(w["vw_sales_full"], ["category_name"])
+    estimate = K.distinct_orders_from_sketch(w["summary_sketches"], ["category_name"])
+    both = exact.join(estimate.withColumnRenamed("distinct_orders", "estimate"), "category_name")
+    within = F.abs(F.col("estimate") - F.col("distinct_orders")) <= F.col("distinct_orders") * 0.05
+    return both.select("category_name", "distinct_orders", within.alias("within"))
+
+
 @query
 def f_many_keys(w):
     return V.sales_joined(w).groupBy(SUMMARY_KEYS).agg(
@@ -817,6 +960,38 @@ def j01_loading_gaps(w):
     return J.loading_gaps(w)
 
 
+@query_with_short_calendar
+def j01_loading_gaps_by_digest(w):
+    return J.loading_gaps(w, by_digest=True)
+
+
+@query
+def j02_phantom_rows_by_digest(w):
+    return J.phantom_rows(w, by_digest=True)
+
+
+@query
+def j02_phantom_rows_by_digest_planted(w):
+    return J.phantom_rows(_one_market_short(w), by_digest=True)
+
+
+@query
+def j03_multiset_difference_by_digest(w):
+    return J.multiset_difference(w, by_digest=True)
+
+
+@query
+def j03_multiset_difference_by_digest_planted(w):
+    return J.multiset_difference(_one_market_twice(w), by_digest=True)
+
+
+@query_with_short_calendar
+def j03_layer_digests(w):
+    found = J.layer_digests(w)
+    # The number of differing leaves depends on the hash; that there are some does not.
+    return found.select("level", "period", "left_rows", "right_rows", (F.col("differing") > 0).alias("differs"))
+
+
 @query
 def j02_phantom_rows(w):
     return J.phantom_rows(w)
@@ -1005,6 +1180,11 @@ def l6_drill_down(w):
     return L.drill_down(w["vw_sales_full"])
 
 
+@query
+def l6_roll_up_by_closure(w):
+    return L.roll_up(w["fact_sales"], H.closure(w["flat_geography"], V.GEOGRAPHY), "state_id")
+
+
 @query
 def l6_drill_down_of_year(w):
     return L.drill_down(w["vw_sales_full"], year=last_year(w))

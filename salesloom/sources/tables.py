@@ -25,6 +25,17 @@ def append(df: DataFrame, name: str) -> None:
     rows.write.insertInto(name)
 
 
+def create_clustered(df: DataFrame, name: str, by: str, buckets: int, path: str) -> DataFrame:
+    """Store ``df`` as a table in buckets of ``by``, sorted by it.
+
+    Groupings and joins by that column then need no shuffle: equal values lie in files of one bucket.
+    The rows are dealt out as the buckets are, so each bucket is one file.
+    """
+    dealt = df.repartition(buckets, by)
+    dealt.write.option("path", path).bucketBy(buckets, by).sortBy(by).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def append_new_members(
     incoming: DataFrame,
     name: str,

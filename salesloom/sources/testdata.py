@@ -16,10 +16,15 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line with its order, customer, place and product.
 
     No join is hinted: Spark reads the file sizes and broadcasts only what fits
-    under ``spark.sql.autoBroadcastJoinThreshold``.
+    under ``spark.sql.autoBroadcastJoinThreshold``. Lines are dealt by order first,
+    into as many parts as any shuffle has: a file of one row group would otherwise
+    keep everything up to the written table in one task. A join with orders too
+    large to broadcast uses the same dealing, so it shuffles the lines once.
     """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
         _read(spark, sf_dir, "lineitem")
+        .repartition(parts, "l_orderkey")
         .join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))

@@ -185,3 +185,103 @@ def test_large_files_are_split_unless_lines_may_break(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert plain > 1 and broken == 1
+
+
+def test_bitmaps_count_distinct_values_exactly(spark):
+    import datetime
+    import random
+
+    from salesloom.operators import bitmaps
+
+    draw = random.Random(3)
+    day = datetime.date(1969, 12, 1)
+    rows = [
+        (draw.choice("ab"), draw.choice([None, draw.randint(-70_000, 140_000)]), day + datetime.timedelta(draw.randint(0, 90)), draw.choice([None, "x", "y"]), None)
+        for _ in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "k string, i long, d date, s string, n int").repartition(5)
+    expected = {c: len({r[j] for r in rows} - {None}) for j, c in enumerate(df.columns)}
+    assert {r["column"]: r["distinct_count"] for r in bitmaps.distinct_counts(df, df.columns).collect()} == expected
+    stored = bitmaps.bitmaps(df, "i", ["k"]).unionAll(bitmaps.bitmaps(df, "d", ["k"]))
+    by_key = {(r["k"], r["column"]): r["distinct_count"] for r in bitmaps.counts(stored, ["k"]).collect()}
+    assert by_key["a", "i"] == len({r[1] for r in rows if r[0] == "a"} - {None})
+    assert {r["column"]: r["distinct_count"] for r in bitmaps.counts(stored).collect()} == {c: expected[c] for c in "id"}
+    with pytest.raises(TypeError):
+        bitmaps.bitmaps(df, "s")
+    assert {r["distinct_count"] for r in bitmaps.distinct_counts(df.limit(0), df.columns).collect()} == {0}
+
+
+def test_merged_profiles_equal_one_profile_within_their_bounds(spark):
+    from salesloom.operators import sketches
+
+    draw = random.Random(8)
+    rows = [(draw.choice("pqr"), draw.choice([None, draw.gauss(0, 50)]), f"v{int(draw.expovariate(0.05))}", i) for i in range(40_000)]
+    df = spark.createDataFrame(rows, "part string, x double, s string, i long").repartition(6)
+    stored = sketches.profile(df, ["part"])
+    assert stored.count() == 9
+    found = {r["column"]: r for r in sketches.estimates(sketches.merged(stored)).collect()}
+    for j, c in ((1, "x"), (2, "s"), (3, "i")):
+        values = [r[j] for r in rows if r[j] is not None]
+        assert (found[c]["rows"], found[c]["missing"]) == (len(rows), len(rows) - len(values))
+        assert abs(found[c]["distinct"] / len(set(values)) - 1) <= sketches.DISTINCT_ERROR
+        if c != "s":
+            for q in (25, 50, 75):
+                rank = np.mean(np.array(values) <= found[c][f"q{q}"])
+                assert abs(rank - q / 100) <= sketches.RANK_ERROR
+            assert (found[c]["least"], found[c]["most"]) == (min(values), max(values))
+    assert found["s"]["q50"] is None and found["i"]["total"] == sum(range(40_000))
+    true = {}
+    for r in rows:
+        true[r[2]] = true.get(r[2], 0) + 1
+    for item, count in found["s"]["top"]:
+        assert true[item] <= count <= true[item] + sketches.FREQUENCY_ERROR * len(rows)
+
+
+def test_closure_holds_every_ancestor_of_every_leaf(spark):
+    keyed = spark.createDataFrame([(1, "a", 1, "n", 1, "s"), (1, "a", 2, "m", 2, "s"), (2, "b", 3, "n", 3, None)],
+                                  "x_id long, x_name string, y_id long, y_name string, z_id long, z_name string")
+    found = {tuple(r) for r in hierarchy.closure(keyed, ["x", "y", "z"]).collect()}
+    assert found == {
+        (0, "all", 0, None, 1), (0, "all", 0, None, 2), (0, "all", 0, None, 3), (1, "x", 1, "a", 1), (1, "x", 1, "a", 2), (1, "x", 2, "b", 3),
+        (2, "y", 1, "n", 1), (2, "y", 2, "m", 2), (2, "y", 3, "n", 3), (3, "z", 1, "s", 1), (3, "z", 2, "s", 2), (3, "z", 3, None, 3),
+    }
+
+
+def test_load_warnings_name_file_row_and_reason(spark, tmp_path):
+    header = "order_id,order_date,sales,quantity,ship_mode"
+    lines = [f"O{i},2020-01-0{1 + i % 9},{i}.50,{i},air" for i in range(2000)]
+    lines[3] = "O3,5/1/2020,x,3,air"
+    lines[1500] = f"O1500,2020-01-01,1,many,{'long' * 20}"
+    lines[1700] = "O1700,2020-01-01"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n".join([header, *lines]) + "\n")
+    (tmp_path / "in" / "b.csv").write_text(f"{header}\nP1,2020-01-01,1,2,sea\nP2,,,2.5.1,sea\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+        text = csv_files.read_raw_csv(spark, str(tmp_path / "in"), keep_malformed=True, keep_place=True)
+        assert text.rdd.getNumPartitions() > 3
+        found = {(r["file"].rsplit("/", 1)[1], r["row"], r["column"], r["raw"], r["reason"]) for r in csv_files.load_warnings(text).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {
+        ("a.csv", 4, "order_date", "5/1/2020", "not date"), ("a.csv", 4, "sales", "x", "not decimal(18,2)"),
+        ("a.csv", 1501, "quantity", "many", "not int"), ("a.csv", 1501, "ship_mode", "long" * 20, "longer than 50"),
+        ("a.csv", 1701, None, "O1700,2020-01-01", "malformed line"), ("b.csv", 2, "quantity", "2.5.1", "not int"),
+    }
+    assert text.columns[-1] == csv_files.PLACE
+
+
+def test_values_with_line_breaks_are_read_by_many_tasks(spark, tmp_path):
+    rows = [(f"O{i}", f"two\nlines of \"{i}\"") for i in range(1000)]
+    path = str(tmp_path / "out")
+    csv_files.write_csv(spark.createDataFrame(rows, "order_id string, product_name string").coalesce(1), path, rows_per_file=100)
+    schema = T.StructType([T.StructField("order_id", T.StringType()), T.StructField("product_name", T.StringType())])
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "4m")  # a file a task, however small
+        text = csv_files.read_raw_csv(spark, path, schema, multi_line=True)
+        assert text.rdd.getNumPartitions() >= 10
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert sorted(map(tuple, text.collect())) == sorted(rows)

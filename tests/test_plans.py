@@ -1,6 +1,7 @@
 """Physical plans: what is read, what is shuffled, what is broadcast."""
 
 import pytest
+from conftest import SF_DIR as SF
 
 from salesloom.operators import profiling
 from salesloom.plans import analytics, dashboard, quality, views
@@ -81,3 +82,23 @@ def test_fact_holds_every_staging_row(w):
 def test_exact_duplicates_sort_by_more_than_their_count(w):
     plan = physical(profiling.exact_duplicates(w["staging_sales"], ["order_id", "product_id"]))
     assert "rangepartitioning(cnt" in plan and "order_id" in plan.split("rangepartitioning(")[1].split(")")[0]
+
+
+def test_distinct_counts_multiply_no_rows(w):
+    plan = physical(quality.distinct_comparison(w))
+    assert "Expand" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_cleaning_is_done_by_many_tasks(w):
+    from salesloom.operators.cleaning import clean
+
+    assert clean(w["raw_sales"]).rdd.getNumPartitions() > 1 and w["staging_sales"].rdd.getNumPartitions() > 1
+
+
+def test_orders_in_buckets_are_grouped_without_a_shuffle(w):
+    from salesloom import queries
+
+    lines = queries._fact_by_order(w).groupBy("order_id").count()
+    assert "Exchange" not in physical(lines)
+    assert "Exchange" not in physical(queries.QUERIES["f_group_concat_clustered"](w.spark, SF))
+    assert "Exchange" not in physical(queries.QUERIES["j11_repeated_lines_clustered"](w.spark, SF))
