@@ -29,13 +29,15 @@ from salesloom.llm.common import bounded_batches, stage, utf8
 from salesloom.llm.tokenizing import slices, worker_bytes
 
 VOCABULARY = "piece_bpe_32k.model"
-ROUNDS = 2  # of re-estimation, from equal probabilities
+ROUNDS = 1  # of estimation, from equal probabilities; more are possible and change little
 SMOOTHING = 0.01  # added to each piece's expected count
+_CHARACTER = 21  # bits of a code point
 _START = "▁"  # begins a piece that begins a word
 _UNIT = 1 << 16  # expected counts are added up in these parts, so that their order can't matter
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]{0,1023}")
 _TOGETHER = 1 << 17  # letters of words, times languages, that are worked on at a time
 _PORTION = 1 << 20  # characters of a text whose words are listed at a time
+_WORDS = 1 << 18  # words whose scores are added up at a time
 
 
 class Vocabulary:
@@ -52,6 +54,21 @@ class Vocabulary:
                 self.number[piece] = i
         self.size = len(pieces)
         self.longest = max(map(len, self.number), default=1)
+        self._grow()
+
+    def _grow(self) -> None:
+        """The pieces as a tree by characters: sorted edges (node, character), so that all words walk at once."""
+        nodes: dict[str, int] = {"": 0}
+        edges: dict[int, int] = {}
+        for piece in self.number:
+            for k in range(len(piece)):
+                upto = piece[: k + 1]
+                if upto not in nodes:
+                    nodes[upto] = len(nodes)
+                edges[nodes[piece[:k]] << _CHARACTER | ord(piece[k])] = nodes[upto]
+        self.edges = np.array(sorted(edges) or [-1], dtype=np.int64)
+        self.targets = np.array([edges[e] for e in sorted(edges)] or [0], dtype=np.int64)
+        self.piece_at = np.array([self.number.get(prefix, -1) for prefix in nodes], dtype=np.int32)
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -65,15 +82,25 @@ class Vocabulary:
         -1. Letters without a piece of their own can be spelled in bytes: ``spelled`` lists them by
         position, as (word, letter).
         """
-        length, get = len(words[0]), self.number.get
+        length = len(words[0])
         widest = min(self.longest, length)
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        letters = letters.reshape(len(words), length)
         numbers = np.full((len(words), length, widest), -1, dtype=np.int32)
+        # From every character of every word at once, down the tree for as long as there is a piece.
+        word, at = (x.ravel() for x in np.indices(letters.shape))
+        node = np.zeros(len(word), dtype=np.int64)
+        for k in range(widest):
+            edge = node << _CHARACTER | letters[word, at]
+            place = np.minimum(np.searchsorted(self.edges, edge), len(self.edges) - 1)
+            found = self.edges[place] == edge
+            word, at, node = word[found], at[found], self.targets[place[found]]
+            numbers[word, at, k] = self.piece_at[node]
+            inside = at + 1 < length
+            word, at, node = word[inside], at[inside] + 1, node[inside]
         spelled: dict[int, list[tuple[int, int]]] = {}
-        for t in range(length):
-            for k in range(min(widest, t + 1)):
-                numbers[:, t, k] = [get(w[t - k : t + 1], -1) for w in words]
-            for w in np.flatnonzero(numbers[:, t, 0] < 0).tolist():
-                spelled.setdefault(t, []).append((w, ord(words[w][t])))
+        for w, t in zip(*(x.tolist() for x in np.nonzero(numbers[:, :, 0] < 0)), strict=True):
+            spelled.setdefault(t, []).append((w, int(letters[w, t])))
         return numbers, spelled
 
 
@@ -155,17 +182,44 @@ class Model:
             self._known = np.concatenate(found)
         return self._known[np.fromiter(map(self._row.__getitem__, words), dtype=np.int64, count=len(words))]
 
-    def predict(self, text: str) -> tuple[str, float]:
-        """(language, its probability given the text); ``und`` and 0 for a text without letters."""
-        total, any_words = self.log_prior.copy(), False
-        for words in words_of(text):
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """(language, its probability given the text) of each; ``und`` and 0 for a text without letters.
+
+        The words of all texts are scored together, as groups of few words would cost more than
+        their sums.
+        """
+        totals = np.tile(self.log_prior, (len(texts), 1))
+        any_words = np.zeros(len(texts), dtype=bool)
+        words: list[str] = []
+        owners: list[int] = []
+        starts: list[int] = []
+
+        def add_up() -> None:
             if words:
-                any_words = True
-                total += self.word_scores(words).sum(axis=0)
-        if not any_words or not self.languages:
-            return "und", 0.0
-        best = int(total.argmax())
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+                sums = np.add.reduceat(self.word_scores(words), starts, axis=0)
+                np.add.at(totals, owners, sums)  # a long text has several shares
+            for kept in (words, owners, starts):
+                kept.clear()
+
+        for i, text in enumerate(texts):
+            for some in words_of(text):
+                if some:
+                    any_words[i] = True
+                    owners.append(i)
+                    starts.append(len(words))
+                    words += some
+                if len(words) > _WORDS:
+                    add_up()
+        add_up()
+        if not self.languages:
+            return [("und", 0.0)] * len(texts)
+        best = totals.argmax(axis=1)
+        top = np.take_along_axis(totals, best[:, None], 1)
+        scores = 1.0 / np.exp(totals - top).sum(axis=1)
+        return [
+            (self.languages[k], float(score)) if known else ("und", 0.0)
+            for k, score, known in zip(best.tolist(), scores, any_words.tolist(), strict=True)
+        ]
 
 
 def forward_sums(logs: np.ndarray) -> np.ndarray:
@@ -321,7 +375,7 @@ def predict_languages(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _remembering(model)
         for part in slices(batches, "text"):
-            found = [known.predict(t.decode(errors="replace")) for t in part.column("text").to_pylist()]
+            found = known.predict([t.decode(errors="replace") for t in part.column("text").to_pylist()])
             columns = [part.column("doc_id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
 
