@@ -3,6 +3,9 @@
 Trust is a personalised PageRank that starts at hosts with allowed pages and follows links. Distrust
 starts at hosts with blocked pages and follows links backwards: who links to a blocked host is
 suspect. A host's pages without a rule are blocked when its distrust exceeds its trust.
+
+Ranks shrink as a web grows, since those of a kind sum to at most 1. So all limits are relative: of
+trust to distrust, and of distrust to the mean over all hosts that any rank reaches.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ from salesloom.llm.common import ascii_lower, stage
 
 DAMPING = 0.85
 ROUNDS = 15
-LEAST_DISTRUST = 1e-9
+LEAST_SHARE = 1e-6  # of the mean distrust: what lies below counts as none
+_MARGIN = 1e-9  # by which distrust must exceed trust, so that the order of additions can't matter
 _WRITTEN = 5  # rounds between two writes, which bound what a lost executor can cost
 _LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
@@ -79,8 +83,7 @@ def propagate(
     Kinds are graphs of their own that are ranked side by side. Seeds of a kind are scaled to sum to
     1. In each round a host passes on ``damping`` of its rank by the weight of its links, and every
     seed gets its share of the rest. Rank that a host without links can't pass on ends there.
-    Without seeds there are no ranks; hosts that nothing reaches are left out. Ranks are rounded to
-    12 places, so a rerun that adds in another order gives equal ones.
+    Without seeds there are no ranks; hosts that nothing reaches are left out.
     """
     totals = seeds.groupBy("kind").agg(F.sum("seed").alias("all"))
     start = stage(seeds.join(totals, "kind").select("kind", "host", (F.col("seed") / F.col("all")).alias("seed")), "seeds")
@@ -93,7 +96,7 @@ def propagate(
         passed = shares.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
         )
-        ranks = passed.union(kept).groupBy("kind", "host").agg(F.round(F.sum("rank"), 12).alias("rank"))
+        ranks = passed.union(kept).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if done % _WRITTEN == 0 or done == rounds:
             ranks = stage(ranks, "ranks")
     return ranks
@@ -112,7 +115,7 @@ def judge_urls(
     """One row per page: page_id, host, path, rule, verdict, trust, distrust.
 
     The longest rule that fits decides. Pages without one go by their host: block when its distrust
-    is above both its trust and a trifle, else allow; so a host that nothing reaches is allowed. NULL
+    is above both its trust and a millionth of the mean, else allow; so a host that nothing reaches is allowed. NULL
     urls and urls without ``://`` have empty host and path and are allowed; NULL pages have no
     links; repeated rows count as often as they occur, for seeds and links too; an empty table gives
     no rows. Other columns are not read.
@@ -132,9 +135,11 @@ def judge_urls(
     ranks = propagate(both, stage(seeds, "seed-pages"), damping=damping, rounds=rounds)
     rank_of = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
     hosts = ranks.groupBy(F.col("host").alias("of")).agg(rank_of("allow").alias("trust"), rank_of("block").alias("distrust"))
-    joined = judged.join(stage(hosts, "host-ranks"), F.col("host") == F.col("of"), "left")
+    hosts = stage(hosts, "host-ranks")
+    least = (hosts.agg(F.avg("distrust").alias("mean")).first()["mean"] or 0.0) * LEAST_SHARE
+    joined = judged.join(hosts, F.col("host") == F.col("of"), "left")
     trusted, suspect = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    by_host = F.when((suspect > trusted) & (suspect > LEAST_DISTRUST), "block").otherwise("allow")
+    by_host = F.when((suspect > trusted * (1 + _MARGIN)) & (suspect > least), "block").otherwise("allow")
     return joined.select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", by_host).alias("verdict"),
         trusted.alias("trust"), suspect.alias("distrust"),
