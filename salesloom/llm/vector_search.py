@@ -31,6 +31,12 @@ MEMBERS = 4096  # of a bucket, and as many queries, are compared in one task
 _PAIRS = 1 << 20  # compared at a time
 
 
+def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of bits in which signed 64-bit integers differ, elementwise."""
+    # As unsigned numbers: of signed ones the bits of the absolute value would be counted.
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 @dataclass
 class Codes:
     centre: np.ndarray
@@ -68,7 +74,7 @@ def learn_codes(vectors: np.ndarray, k: int, *, rounds: int = 40, aim: float = A
         far = ((vectors - vectors[i]) ** 2).sum(axis=1)
         far[i] = np.inf
         near = np.argsort(far, kind="stable")[: min(k, len(vectors) - 1)]
-        reached.extend(np.bitwise_count(own[near] ^ own[i]).tolist())
+        reached.extend(differing_bits(own[near], own[i : i + 1]).tolist())
     codes.radius = int(np.quantile(reached, aim, method="higher"))
     return codes
 
@@ -117,7 +123,7 @@ def _best_of_bucket(rows: dict[str, np.ndarray], k: int, shares: list[int] | Non
     step = max(1, _PAIRS // len(ids))
     for start in range(0, len(asked), step):
         differ = asked_codes[start : start + step, None] ^ codes[None, :]
-        near = (np.bitwise_count(differ) <= radius) & (asked[start : start + step, None] != ids[None, :])
+        near = (np.bitwise_count(differ.view(np.uint64)) <= radius) & (asked[start : start + step, None] != ids[None, :])
         at_query, at_member = np.nonzero(near)
         if here:  # pairs that an earlier substring finds too are left to that one
             bits = np.bitwise_count(differ[at_query, at_member].view(np.uint8).reshape(-1, PARTS))

@@ -121,9 +121,10 @@ def judge(pages):
         rows.append((page_id, host, path, rule))
     trust = plain_ranks(edges, seeds["allow"])
     distrust = plain_ranks({(b, a): w for (a, b), w in edges.items()}, seeds["block"])
+    least = 1e-6 * sum(distrust.values()) / max(1, len({*trust, *distrust}))
     out = []
     for page_id, host, path, rule in rows:
-        bad = distrust.get(host, 0) > max(trust.get(host, 0), 1e-9)
+        bad = distrust.get(host, 0) > max(trust.get(host, 0) * (1 + 1e-9), least)
         out.append((page_id, host, path, rule.text if rule else None, rule.verdict if rule else "block" if bad else "allow"))
     return sorted(out, key=str)
 
@@ -153,6 +154,31 @@ def test_urls_of_a_linked_web(spark):
     assert url_filter.judge_urls(df.limit(0), RULES).collect() == []
 
 
+def test_verdicts_do_not_depend_on_the_size_of_the_web(spark):
+    """A long chain of hosts up to a blocked one, once and among many copies of itself."""
+
+    def web(copies):
+        rows = []
+        for c in range(copies):
+            for i in range(12):
+                to = f"https://n{i + 1}.c{c}.test/" if i < 11 else "https://example.com/en/"
+                rows.append((f"{c}-{i}", f"https://n{i}.c{c}.test/x", f'<a href="{to}">'))
+        return [*rows, ("bad", "https://example.com/en/", ""), ("fine", "https://lonely.test/", "")]
+
+    def verdicts(copies):
+        df = spark.createDataFrame(web(copies), "page_id string, url string, html string")
+        return {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(df, RULES).collect()}
+
+    small, large = verdicts(1), verdicts(300)
+    assert small == {p: large[p] for p in small} and small["0-0"] == "block" and small["fine"] == "allow"
+    assert len({large[f"{c}-{i}"] for c in range(300) for i in range(12)}) == 1
+
+
+def test_radius_counts_every_bit():
+    a = np.array([0, -1, 1 << 62, -(1 << 63)])
+    assert vector_search.differing_bits(a, np.array([-1, 0, -(1 << 62), 0])).tolist() == [64, 64, 1, 1]
+
+
 def test_url_query_on_the_whole_table(spark, sf_dir):
     import re
 
