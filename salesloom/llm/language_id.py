@@ -12,6 +12,7 @@ their counts, so its tables grow with the corpus and its work with the vocabular
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -35,6 +36,9 @@ _CHARACTER = 21  # bits of a code point
 _START = "▁"  # begins a piece that begins a word
 _UNIT = 1 << 16  # expected counts are added up in these parts, so that their order can't matter
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]{0,1023}")
+_PLAIN_WORD = re.compile("[a-z]{1,1024}")  # the same for lower-cased ASCII, only faster
+_SHORT = 40  # characters of a word whose sums stay within the range of doubles
+_SCALE = 7.0  # by which the logarithm of a probability is raised per character meanwhile
 _TOGETHER = 1 << 17  # letters of words, times languages, that are worked on at a time
 _PORTION = 1 << 20  # characters of a text whose words are listed at a time
 _WORDS = 1 << 18  # words whose scores are added up at a time
@@ -112,7 +116,8 @@ def words_of(text: str) -> Iterator[list[str]]:
         # Not within a word, however long it is.
         while stop < len(text) and _WORD.fullmatch(f"a{text[stop]}"):
             stop += 1
-        yield _WORD.findall(text[start:stop].lower())
+        part = text[start:stop].lower()
+        yield (_PLAIN_WORD if part.isascii() else _WORD).findall(part)
         start = stop
 
 
@@ -146,10 +151,11 @@ class Model:
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
     _row: dict[str, int] = field(default_factory=dict)
     _known: np.ndarray | None = None
+    _raised: np.ndarray | None = None
     _bytes: int = 0
 
     def __getstate__(self):
-        return {**self.__dict__, "_row": {}, "_known": None, "_bytes": 0}
+        return {**self.__dict__, "_row": {}, "_known": None, "_raised": None, "_bytes": 0}
 
     def steps(self, words: list[str]) -> np.ndarray:
         """Log-probability of each arc: (word, position it ends at, length - 1, language)."""
@@ -163,8 +169,33 @@ class Model:
 
     def forward(self, words: list[str]) -> np.ndarray:
         """(word, language): log-probability of words of one length, over all segmentations."""
+        if len(words[0]) <= _SHORT:
+            numbers, spelled = self.vocabulary.arcs(words)
+            if not spelled:
+                return self._forward_short(numbers)
         return forward_sums(self.steps(words))[:, -1]
 
+    def raised(self) -> np.ndarray:
+        """Probabilities of pieces, raised by _SCALE per character."""
+        if self._raised is None:
+            sizes = np.zeros(len(self.log_piece))
+            for piece, i in self.vocabulary.number.items():
+                sizes[i] = len(piece)
+            self._raised = np.exp(self.log_piece + _SCALE * sizes[:, None])
+        return self._raised
+
+    def _forward_short(self, numbers: np.ndarray) -> np.ndarray:
+        """The same sums without logarithms, for short words made of pieces only."""
+        raised = self.raised()
+        words, length, widest = numbers.shape
+        sums = np.ones((words, length + 1, raised.shape[1]))
+        for t in range(length):
+            k = min(widest, t + 1)
+            arcs = raised[numbers[:, t, :k]]
+            arcs *= sums[:, t + 1 - k : t + 1][:, ::-1]
+            arcs.sum(axis=1, out=sums[:, t + 1])
+        return np.log(sums[:, -1]) - _SCALE * length
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         """(word, language) for any words; what has been worked out is remembered, within a bound."""
         fresh = {w for w in words if w not in self._row}
@@ -253,16 +284,23 @@ def expected_pieces(model: Model, words: list[str], counts: np.ndarray) -> Itera
     """
     marked = [f"{_START}{w}" for w in words]
     numbers, spelled = model.vocabulary.arcs(marked)
-    logs = model.steps(marked)
-    ahead, behind = forward_sums(logs), backward_sums(logs)
-    whole = ahead[:, -1]
     length, widest = numbers.shape[1:]
-    for t in range(length):
-        k = min(widest, t + 1)
-        before = ahead[:, t + 1 - k : t + 1][:, ::-1]
-        used = np.exp(before + logs[:, t, :k] + behind[:, t + 1, None] - whole[:, None])[..., 0]
+    if length <= _SHORT and not spelled:
+        shares = _shares_short(model.raised()[:, 0], numbers)
+    else:
+        logs = model.steps(marked)
+        ahead, behind = forward_sums(logs), backward_sums(logs)
+        whole = ahead[:, -1]
+
+        def share(t: int) -> np.ndarray:
+            k = min(widest, t + 1)
+            before = ahead[:, t + 1 - k : t + 1][:, ::-1]
+            return np.exp(before + logs[:, t, :k] + behind[:, t + 1, None] - whole[:, None])[..., 0]
+
+        shares = (share(t) for t in range(length))
+    for t, used in enumerate(shares):
         units = np.rint(used * counts[:, None] * _UNIT).astype(np.int64)
-        pieces = numbers[:, t, :k]
+        pieces = numbers[:, t, : used.shape[1]]
         real = pieces >= 0
         yield pieces[real], units[real]
         for w, letter in spelled.get(t, ()):
@@ -271,6 +309,23 @@ def expected_pieces(model: Model, words: list[str], counts: np.ndarray) -> Itera
             yield np.array(own, dtype=np.int32), np.full(len(own), units[w, 0])
 
 
+def _shares_short(raised: np.ndarray, numbers: np.ndarray) -> Iterator[np.ndarray]:
+    """By position, the share of each arc that ends there in its word's sum; without logarithms."""
+    words, length, widest = numbers.shape
+    arcs = raised[numbers]
+    ahead, behind = np.ones((words, length + 1)), np.zeros((words, length + 1))
+    behind[:, length] = 1.0
+    for t in range(length):
+        k = min(widest, t + 1)
+        ahead[:, t + 1] = (ahead[:, t + 1 - k : t + 1][:, ::-1] * arcs[:, t, :k]).sum(axis=1)
+    for t in range(length - 1, -1, -1):
+        k = min(widest, t + 1)
+        behind[:, t + 1 - k : t + 1] += (arcs[:, t, :k] * behind[:, t + 1, None])[:, ::-1]
+    for t in range(length):
+        k = min(widest, t + 1)
+        yield ahead[:, t + 1 - k : t + 1][:, ::-1] * arcs[:, t, :k] * (behind[:, t + 1] / ahead[:, -1])[:, None]
+
+
 def word_counts(labelled: DataFrame) -> DataFrame:
     """(lang, word, n) of rows (lang, text as bytes); every portion is counted before it is sent."""
 

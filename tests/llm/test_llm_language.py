@@ -67,6 +67,17 @@ def test_words_are_whatever_their_place_and_length(monkeypatch):
     assert [w for ws in L.words_of(text) for w in ws] == whole
 
 
+def test_short_words_need_no_logarithms():
+    vocabulary = L.Vocabulary(PIECES)
+    own = model(vocabulary)
+    for words in (["▁" + "ab" * 19], ["▁a", "▁b"], ["▁babab", "▁aaaaa"]):
+        numbers, spelled = vocabulary.arcs(words)
+        assert not spelled
+        assert np.allclose(own._forward_short(numbers), L.forward_sums(own.steps(words))[:, -1], rtol=1e-12)
+    rare = L._model(["x"], np.zeros(1), np.eye(1, vocabulary.size) * 1e12, vocabulary, 1 << 20)
+    assert np.isfinite(rare.forward(["▁" + "b" * (L._SHORT - 1)])).all()
+
+
 def test_remembered_words_score_the_same(monkeypatch):
     vocabulary = L.Vocabulary(PIECES)
     words = ["ab", "a", "b", "abba", "ab", "日", "a" * 1024]
