@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions.dates import parse_day_first
 from salesloom.functions.numbers import decimal_digits, integer_digits, parse_number
-from salesloom.functions.text import collapse_blanks, fold_accents, is_ascii, proper_case, strip
+from salesloom.functions.text import _UNTIDY, collapse_blanks, fold_accents, is_ascii, proper_case, strip
 from salesloom.operators import cleaning
 from salesloom.schemas import RAW
 
@@ -158,3 +158,10 @@ def test_invalid_report_keeps_the_text(spark):
     found = {(r["column"], r["raw_value"], r["reason"]) for r in cleaning.invalid_numbers(df).collect()}
     assert found == {("sales", "n/a", "unreadable"), ("quantity", "1e3", "exponent"),
                      ("shipping_cost", " ", "missing")}
+
+
+def test_only_blanks_that_are_no_single_space_are_collapsed(spark):
+    texts = ["", "a", "a b", "a  b", " a", "a ", " ", "a\tb", "a\nb", "a \n", "\x00", "é", "a é", "\U0001f600 b", "~ !"]
+    old = r"[^\x20-\x7E]|^ | $|  "
+    found = apply(spark, texts, lambda c: F.struct(c.rlike(_UNTIDY).alias("now"), c.rlike(old).alias("old")))
+    assert [r["now"] for r in found] == [r["old"] for r in found]
