@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import SF_DIR as SF
+from pyspark.sql import functions as F
 
 from salesloom.operators import profiling
 from salesloom.plans import analytics, dashboard, quality, views
@@ -102,3 +103,27 @@ def test_orders_in_buckets_are_grouped_without_a_shuffle(w):
     assert "Exchange" not in physical(lines)
     assert "Exchange" not in physical(queries.QUERIES["f_group_concat_clustered"](w.spark, SF))
     assert "Exchange" not in physical(queries.QUERIES["j11_repeated_lines_clustered"](w.spark, SF))
+
+
+def below(df, join: str) -> str:
+    """The part of the optimized plan under the join on a column."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    top = next(i for i, line in enumerate(lines) if "Join" in line and join in line)
+    end = next((i for i in range(top + 1, len(lines)) if depth(lines[i]) <= depth(lines[top])), len(lines))
+    return "\n".join(lines[top:end])
+
+
+def test_the_view_shuffles_fact_rows_before_they_grow(w):
+    assert "order_month_name" not in below(views.sales_full(w), "LeftOuter, (customer_id#")
+    assert "order_month_name" not in below(views.sales_full(w), "LeftOuter, (product_id#")
+
+
+def test_summary_of_the_written_view_equals_that_of_the_fact(w):
+    summary, view = views.sales_summary(w), views.summary_of_view(w["vw_sales_full"])
+    assert summary.exceptAll(view).isEmpty() and view.exceptAll(summary).isEmpty()
+    nowhere = w["vw_sales_full"].withColumn("state_name", F.lit(None).cast("string"))
+    assert views.summary_of_view(nowhere).isEmpty()
