@@ -15,6 +15,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -24,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import bounded_batches, utf8
-from salesloom.llm.tokenizing import EXECUTOR_BYTES, Memory, PartEncoder, slices, worker_bytes
+from salesloom.llm.tokenizing import EXECUTOR_BYTES, PartEncoder, slices, worker_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-_SLICE = 2_000_000  # characters of distinct words replayed together
+SHORT = 64  # bytes of a word that takes its merges together with others
+NO_PAIR = (1 << 31) - 1
+_SLICE = 300_000  # characters of new parts whose words are replayed together
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -135,42 +138,108 @@ def _first_pairs(letters, closed, settled, ranks: dict[bytes, int]) -> dict[int,
     return {rank: group.tolist() for rank, group in zip(keys.tolist(), groups, strict=True) if len(group)}
 
 
+class Pairs:
+    """Which two tokens can be merged, and the rank of the token they make."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        rank_of = ranks.get
+        found = [
+            (left << 32 | right, rank)
+            for token, rank in ranks.items()
+            for k in range(1, len(token))
+            if (left := rank_of(token[:k])) is not None and (right := rank_of(token[k:])) is not None
+        ]
+        table = np.array(sorted(found) + [(np.iinfo(np.int64).max, NO_PAIR)], dtype=np.int64)
+        self.keys, self.ranks = table[:, 0].copy(), table[:, 1].copy()
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of neighbours, NO_PAIR where they can't be merged."""
+        keys = left << 32 | right
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.ranks[at], NO_PAIR)
+
+
+def replay_short(words: list[bytes], ranks: dict[bytes, int], pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """What ``replay`` gives, for many words of few bytes: all words take their next merge together.
+
+    The index holds the rank of every pair that stands in an unfinished word. A round takes the
+    lowest rank of each word, of equal ones the leftmost, and enters the two pairs that the merge
+    forms. There are as many rounds as one word has merges at most, so words should be short.
+    """
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    whole = np.fromiter((ranks.get(w, -1) if w else -1 for w in words), dtype=np.int64, count=len(words))
+    single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
+    of = np.repeat(np.arange(len(words)), sizes)
+    apart = whole[of] < 0
+    tokens, of = single[np.frombuffer(b"".join(words), dtype=np.uint8)[apart]], of[apart]
+    if (tokens < 0).any():
+        raise KeyError(words[of[np.argmin(tokens)]])
+    done = [(np.flatnonzero(whole >= 0), whole[whole >= 0])]
+    rank = np.full(len(tokens), NO_PAIR)  # of the pair that starts here
+    inside = np.flatnonzero(of[:-1] == of[1:])
+    rank[inside] = pairs.rank(tokens[inside], tokens[inside + 1])
+    while len(tokens):
+        starts = np.flatnonzero(np.diff(of, prepend=-1))
+        count = np.diff(starts, append=len(of))
+        lowest = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), starts)
+        going = lowest >> 32 != NO_PAIR
+        at = lowest[going] & 0xFFFFFFFF
+        tokens[at] = rank[at]
+        stays = np.repeat(going, count)
+        done.append((of[~stays], tokens[~stays]))
+        stays[at + 1] = False
+        place = np.cumsum(stays) - 1
+        tokens, of, rank, at = tokens[stays], of[stays], rank[stays], place[at]
+        if not len(at):
+            break
+        right = at[at + 1 < len(of)]
+        rank[at] = NO_PAIR
+        for left in (right[of[right] == of[right + 1]], at[at > 0] - 1):
+            left = left[of[left] == of[left + 1]]
+            rank[left] = pairs.rank(tokens[left], tokens[left + 1])
+    of, ids = (np.concatenate(x) for x in zip(*done, strict=True))
+    return ids[np.argsort(of, kind="stable")], np.cumsum(np.bincount(of, minlength=len(words)))
+
+
 class Encoder(PartEncoder):
     """Encodes and decodes texts by merge replay."""
 
+    joined = _SLICE
+
     def __init__(self, ranks: dict[bytes, int], pattern: str, most_bytes: int = EXECUTOR_BYTES):
-        super().__init__(most_bytes)
         self.ranks = ranks
+        self.pairs = Pairs(ranks)
         self.split = regex.compile(pattern).findall
-        self.words = Memory()
-        self.memories.append(self.words)
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.by_id = [self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)]
+        lengths = np.array([len(t or b"") for t in self.by_id], dtype=np.int64)
+        super().__init__(most_bytes, lengths, pattern == public_tokenizers.PATTERN)
+
+    def ids(self, texts: list[str]) -> np.ndarray:
+        """Each distinct word of the texts is replayed once, and its ids are put where it stands."""
+        words = list(chain.from_iterable(map(self.split, texts)))
+        number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        plain = [w.encode() for w in number]
+        long = np.array([len(w) > SHORT for w in plain], dtype=bool)
+        ids, ends = replay_short([b"" if x else w for w, x in zip(plain, long.tolist(), strict=True)], self.ranks, self.pairs)
+        if long.any():
+            ids, ends = self._with_long(plain, np.flatnonzero(long), ids, ends)
+        at = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
+        counts = np.diff(ends, prepend=0)[at]
+        shift = (ends - np.diff(ends, prepend=0))[at] - (np.cumsum(counts) - counts)
+        return ids[np.repeat(shift, counts) + np.arange(counts.sum())]
 
-    def learn(self, parts: list[str]) -> dict[str, bytes]:
-        """One replay over the words of the parts that weren't met before, in slices."""
-        split = [self.split(p) for p in parts]
-        words, size, packed = [], 0, {}
-        for word in {w for ws in split for w in ws if w not in self.words}:
-            words.append(word)
-            size += len(word)
-            if size > _SLICE:
-                packed |= self._replayed(words)
-                words, size = [], 0
-        packed |= self._replayed(words)
-        known = self.words
-        out = {
-            p: b"".join([packed[w] if w in packed else known[w] for w in ws])
-            for p, ws in zip(parts, split, strict=True)
-        }
-        known.learn(packed)
-        return out
-
-    def _replayed(self, words: list[str]) -> dict[str, bytes]:
-        ids, ends = replay([w.encode() for w in words], self.ranks, self.tokens)
-        data = ids.astype("<u4").tobytes()
-        cuts = [0, *(4 * ends).tolist()]
-        return {w: data[a:b] for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
+    def _with_long(self, words: list[bytes], long: np.ndarray, ids, ends) -> tuple[np.ndarray, np.ndarray]:
+        """Puts the ids of the long words among those of the short ones."""
+        more, stops = replay([words[i] for i in long], self.ranks, self.tokens)
+        counts = np.diff(ends, prepend=0)
+        counts[long] = np.diff(stops, prepend=0)
+        is_long = np.zeros(len(words), dtype=bool)
+        is_long[long] = True
+        of_long = np.repeat(is_long, counts)
+        out = np.empty(len(of_long), dtype=np.int64)
+        out[of_long], out[~of_long] = more, ids
+        return out, np.cumsum(counts)
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.by_id.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
@@ -215,6 +284,7 @@ def encode_documents(
                 columns.append(pa.array([np.frombuffer(p, dtype="<i4") for p in packed], pa.list_(pa.int32())))
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
             yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+        encoder.forget()
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"))

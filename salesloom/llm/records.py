@@ -21,10 +21,12 @@ and seek; no file is ever loaded whole.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesloom.llm.common import bounded_batches, short_lived_shuffles, stage, utf8
-from salesloom.llm.tokenizing import PartEncoder, slices, worker_bytes
+from salesloom.llm.tokenizing import STOPS, PartEncoder, slices, worker_bytes
 from salesloom.sources.storage import fresh_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,7 +46,6 @@ FILE_BYTES = 48 << 20  # of text, before encoding
 READ_BYTES = 32 << 20  # of records that one task reads back
 _MASK = 0xA282EAD8
 _FORMAT = 1
-_JOINED = 20_000  # characters given to the tokenizer at once
 
 
 def masked(data: bytes) -> int:
@@ -79,52 +80,31 @@ def read_record(data: bytes | memoryview) -> tuple[int | None, np.ndarray]:
 
 
 class IdEncoder(PartEncoder):
-    """The library's ids of whole texts, part by part.
-
-    Many parts are given to the library as one text. It can't merge across them, so its ids are
-    handed back to the parts by their lengths in bytes.
-    """
+    """The library's ids of whole texts, part by part."""
 
     def __init__(self, path: str, most_bytes: int):
-        super().__init__(most_bytes)
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
-        self.lengths = np.zeros(size, dtype=np.int64)
+        lengths = np.zeros(size, dtype=np.int64)
         added = self.tokenizer.get_added_tokens_decoder()
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             # In the vocabulary of a byte-level model each character stands for one byte.
-            self.lengths[i] = len(token.encode()) if i in added else len(token)
-
-    def learn(self, parts: list[str]) -> dict[str, bytes]:
-        learnt: dict[str, bytes] = {"": b""}
-        groups, size = [[]], 0
-        for part in parts:
-            if not part:
-                continue
-            if part[0] == " " and not part[1:2].isspace() and not part[-1].isspace():
-                groups[-1].append(part)
-                size += len(part)
-                if size > _JOINED:
-                    groups.append([])
-                    size = 0
-            else:
-                groups.insert(0, [part])  # can't be joined: a blank could belong to either side
-        for group in groups:
-            if group:
-                learnt |= self._encoded(group)
-        return learnt
-
-    def _encoded(self, parts: list[str]) -> dict[str, bytes]:
-        ids = np.asarray(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids)
-        ends = np.cumsum(self.lengths[ids])
-        stops = np.cumsum([len(p.encode()) for p in parts])
-        at = np.searchsorted(ends, stops) + 1
-        if len(ids) != at[-1] or (ends[at - 1] != stops).any():
-            raise ValueError("the tokenizer's ids don't cover the text")
-        packed = ids.astype("<u4").tobytes()
-        cuts = [0, *(4 * at).tolist()]
-        return {p: packed[a:b] for p, a, b in zip(parts, cuts, cuts[1:], strict=False)}
+            lengths[i] = len(token.encode()) if i in added else len(token)
+        super().__init__(most_bytes, lengths, self._fine())
+
+    def _fine(self) -> bool:
+        """Byte-level pre-tokens by the usual pattern, and no added token that a cut could go through."""
+        own = json.loads(self.tokenizer.to_str())
+        first = own["pre_tokenizer"] or {}
+        plain = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first["add_prefix_space"]
+        added = [t["content"] for t in own["added_tokens"]]
+        return plain and not own["normalizer"] and not any(set(t) & set(f" \n{STOPS}") for t in added)
+
+    def ids(self, texts: list[str]) -> np.ndarray:
+        # One text a call: of several, the library would encode each on a thread of its own.
+        found = [self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in texts]
+        return np.fromiter(chain.from_iterable(found), dtype=np.int64)
 
 
 @lru_cache(maxsize=1)

@@ -15,7 +15,14 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 EXECUTOR_BYTES = 240_000_000  # about what the memories of all workers of an executor may take
+BARE = "\0"  # begins a part without a space before it; texts that hold one aren't cut at all
+STOPS = ",.;:!?"
 _TOUCHING = re.compile(r" \s|\s ").search
+_BLANKS = re.compile(r"\s\s").search
+_STOP = re.compile(rf"[{STOPS}](?<=[A-Za-z0-9].)(?=[ \n]\S)").sub
+_LINE = re.compile(r"\n(?<=\S.)(?=\S)", re.DOTALL).sub
+_BARE_STOP = rf" {BARE}\g<0>"
+_BARE_LINE = f" {BARE}\n {BARE}"
 _TEXTS = 2_000_000  # bytes of text taken up together
 
 
@@ -65,46 +72,105 @@ class Memory(dict):
 
 
 class PartEncoder:
-    """Encodes texts part by part. What it learns is remembered until it takes ``most_bytes``."""
+    """Encodes texts part by part. What it learns is remembered until it takes ``most_bytes``.
 
-    def __init__(self, most_bytes: int) -> None:
+    Distinct parts that weren't met before are encoded as one text, many at a time. Tokens can't
+    cross from part to part, so the ids are handed back to the parts by their lengths in bytes.
+
+    Every part has a space before it, unless it begins with ``BARE``. ``fine`` says that the
+    pre-tokenizer's pattern is public_tokenizers.PATTERN; then texts are also cut around line ends
+    and before a stop, so that a word is the same part at the end of a sentence as within it.
+    """
+
+    joined = 20_000  # characters of parts put together at once
+
+    def __init__(self, most_bytes: int, lengths: np.ndarray, fine: bool) -> None:
         self.most_bytes = most_bytes
-        self.heads = Memory()
+        self.lengths = lengths  # bytes of each id
+        self.fine = fine
         self.parts = Memory()
-        self.memories = [self.heads, self.parts]
+        self.memories = [self.parts]
 
     def tidy(self) -> None:
         """Start anew when the memories together have grown too large."""
         if sum(m.size for m in self.memories) > self.most_bytes:
-            for memory in self.memories:
-                memory.forget()
+            self.forget()
 
-    def learn(self, parts: list[str]) -> dict[str, bytes]:
-        """Little-endian unsigned 32-bit ids of each of some distinct parts."""
+    def forget(self) -> None:
+        """Start anew. Tasks end with this, so that an idle worker holds no memory for others' work."""
+        for memory in self.memories:
+            memory.forget()
+
+    def ids(self, texts: list[str]) -> np.ndarray:
+        """The ids of all texts, one after the other."""
         raise NotImplementedError
 
+    def cut(self, text: str) -> list[str]:
+        """The parts of a text."""
+        if BARE in text:
+            return [BARE + text]
+        if self.fine and text and not (text[0].isspace() or text[-1].isspace()):
+            blanks = _BLANKS(text)
+            if not blanks or not _TOUCHING(text):
+                text = _STOP(_BARE_STOP, text)
+                text = _LINE(_BARE_LINE, text) if blanks else text.replace("\n", _BARE_LINE)
+                return (BARE + text).split(" ")
+        head, parts = cut(text)
+        return [BARE + head, *parts]
+
+    def learn(self, parts: Iterable[str]) -> dict[str, bytes]:
+        """Little-endian unsigned 32-bit ids of each of some distinct parts."""
+        alone, spaced, bare = [], [], []
+        for part in parts:
+            if part[-1].isspace():
+                alone.append(part)  # can't be joined: a blank could belong to either side
+            elif part[0] != BARE:
+                spaced.append(part)
+            else:
+                (bare if self.fine and part != BARE and not part[1].isspace() else alone).append(part)
+        texts = [p[1:] if p[0] == BARE else f" {p}" for p in alone]
+        learnt = self._learnt(alone, texts, [len(t.encode()) for t in texts])
+        for group in _groups(spaced, self.joined):
+            learnt |= self._learnt(group, [" " + " ".join(group)], [len(p.encode()) + 1 for p in group])
+        for group in _groups(bare, self.joined):
+            plain = [p[1:] for p in group]
+            # The line end before each of them is one id of its own, which isn't theirs.
+            learnt |= self._learnt(group, ["\n" + "\n".join(plain)], [len(p.encode()) + 1 for p in plain], before=1)
+        return learnt
+
+    def _learnt(self, parts: list[str], texts: list[str], sizes: list[int], before: int = 0) -> dict[str, bytes]:
+        if not parts:
+            return {}
+        ids = self.ids(texts)
+        ends = np.append(0, np.cumsum(self.lengths[ids]))
+        stops = np.cumsum(sizes)
+        at = np.searchsorted(ends, stops)
+        if len(ids) != at[-1] or (ends[at] != stops).any():
+            raise ValueError("the tokenizer's ids don't cover the text")
+        packed = ids.astype("<u4").tobytes()
+        cuts = [0, *(4 * at).tolist()]
+        return {p: packed[a + 4 * before : b] for p, a, b in zip(parts, cuts, cuts[1:], strict=False)}
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        cuts = [cut(t) for t in texts]
-        found = [list(map(self.parts.get, parts)) for _, parts in cuts]
-        heads = {head for head, _ in cuts if head not in self.heads}
-        short = [i for i, known in enumerate(found) if None in known]
-        parts = {p for i in short for p, known in zip(cuts[i][1], found[i], strict=True) if known is None}
-        learnt = self.learn([*heads, *(f" {p}" for p in parts)]) if heads or parts else {}
-        fresh = {p: learnt[f" {p}"] for p in parts}
-        for i in short:
-            found[i] = [fresh[p] if known is None else known for p, known in zip(cuts[i][1], found[i], strict=True)]
-        first = {h: learnt[h] for h in heads}
-        out = [
-            b"".join([first[head] if head in first else self.heads[head], *rest])
-            for (head, _), rest in zip(cuts, found, strict=True)
-        ]
-        self.heads.learn(first)
-        self.parts.learn(fresh)
+        cuts = [self.cut(t) for t in texts]
+        self.parts.learn(self.learn(set().union(*cuts) - self.parts.keys()))
+        known = self.parts.__getitem__
+        out = [b"".join(map(known, parts)) for parts in cuts]
         self.tidy()
         return out
 
 
+def _groups(parts: list[str], most: int) -> Iterator[list[str]]:
+    """The parts in groups of about ``most`` characters."""
+    if not parts:
+        return
+    portion = np.cumsum([len(p) for p in parts]) // most
+    bounds = np.flatnonzero(np.diff(portion, prepend=-1)).tolist()
+    for start, stop in zip(bounds, [*bounds[1:], len(parts)], strict=True):
+        yield parts[start:stop]
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], column: str, most: int = _TEXTS, by_value: bool = False
 ) -> Iterator[pa.RecordBatch]:

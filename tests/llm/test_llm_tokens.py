@@ -176,3 +176,51 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode_documents(docs).collect() == []
     assert records.token_records(docs).collect() == []
+
+
+def test_short_words_in_step_give_what_the_replay_gives():
+    ranks = {bytes([b]): b for b in range(256)} | {b"bc": 300, b"bcd": 290, b"ab": 310, b"abc": 295, b"aa": 320, b"aaa": 319}
+    draw = random.Random(5)
+    words = [b"", b"bcd", b"a"] + [bytes(draw.choice(b"abcd") for _ in range(draw.randint(0, 30))) for _ in range(2000)]
+    for some in (words, words[:1], []):
+        ids, ends = bpe.replay_short(some, ranks, bpe.Pairs(ranks))
+        expected = bpe.replay(words, ranks)
+        assert ends.tolist() == expected[1][: len(some)].tolist()
+        assert ids.tolist() == expected[0][: ends[-1] if len(some) else 0].tolist()
+    with pytest.raises(KeyError):
+        bpe.replay_short([b"ab", b"a!"], {b"a": 0, b"b": 1}, bpe.Pairs({b"a": 0, b"b": 1}))
+
+
+SENTENCES = [
+    "foo, bar. baz\nQux! a\n\nb.\nc 's\n's, x_, y\n,z q", "é, ü.\nö", "a.\n b", "it's, I'M. x\x1c\ny \nz, 3.\n4. a.b, c:d; e?! f!\n\x1d g",
+    "x. y.\u0085\nw", "½, ²; a.\r\nb,\r\n", "\ns.", "\n, x", "a\n", "a, ", ",.\n.,", "a\0b, c. d", "\0", "a \0x", "\0 a. b", "a.\n\n\nb.\nc,\n",
+    "<|endoftext|>, q\n<|endoftext|>\nr. <|endoftext|>\n" + "long" * 50 + ", x",
+]
+
+
+def test_cuts_at_stops_and_line_ends_change_no_id():
+    texts = SENTENCES + noise(11, 2000)
+    ranks = bpe.read_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    for pattern, fine in ((public_tokenizers.PATTERN, True), (r"\S+\s?|\s+", False)):
+        encoder = bpe.Encoder(ranks, pattern)
+        assert encoder.fine is fine
+    unpack = lambda packed: [np.frombuffer(p, "<u4").tolist() for p in packed]
+    assert unpack(bpe.Encoder(ranks, public_tokenizers.PATTERN).encode(texts)) == expected_ids(texts)
+    encoder = records.IdEncoder(public_tokenizers.path(records.TOKENIZER), 1 << 20)
+    assert encoder.fine
+    assert unpack(encoder.encode(texts)) == [ids[:-1] for ids in library_ids(texts)]
+
+
+def test_a_word_at_the_end_of_a_sentence_is_learnt_once():
+    encoder = records.IdEncoder(public_tokenizers.path(records.TOKENIZER), 1 << 20)
+    given, ids = [], encoder.ids
+    encoder.ids = lambda texts: given.extend(texts) or ids(texts)
+    encoder.encode(["so one thing. Then one thing, or one thing\nThen", "all one thing; Then one thing!\nSo"])
+    assert sum(text.count("thing") for text in given) == 1
+
+
+def test_workers_keep_no_memory_after_a_task(spark):
+    bpe.encode_documents(table(spark, noise(12))).collect()
+    key = (public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN, worker_bytes(spark))
+    held = spark.sparkContext.parallelize(range(16), 16).map(lambda _: sum(map(len, bpe._encoder(*key).memories))).collect()
+    assert held == [0] * 16
