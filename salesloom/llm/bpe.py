@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import bounded_batches, utf8
-from salesloom.llm.tokenizing import EXECUTOR_BYTES, PartEncoder, slices, worker_bytes
+from salesloom.llm.tokenizing import PartEncoder, slices, worker_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+EXECUTOR_BYTES = 160_000_000  # less than records take, as this may run beside the state of earlier stages
 SHORT = 64  # bytes of a word that takes its merges together with others
 NO_PAIR = (1 << 31) - 1
 _SLICE = 300_000  # characters of new parts whose words are replayed together
@@ -267,7 +268,7 @@ def encode_documents(
     columns are not read. The vocabulary file must be at ``path`` on every executor.
     """
     path = path or public_tokenizers.path(VOCABULARY)
-    most_bytes = worker_bytes(docs.sparkSession)
+    most_bytes = worker_bytes(docs.sparkSession, EXECUTOR_BYTES)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from salesloom.llm.common import bounded_batches, utf8
 PASSAGE = 512  # bytes
 SAMPLE = 4000  # labelled documents to learn from, at most
 THRESHOLD = 0.7
-_SLICE = 1_000_000  # bytes of text described together
+_SLICE = 250_000  # bytes of text described together
 
 _CLASSES = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" ", b"\t\n\v\f\r", b".",
             b",", b"!", b"?", b"'\"`", b"#$%&*+=@^_~|<>", b"()[]{}", b":;-/\\"]

@@ -221,6 +221,6 @@ def test_a_word_at_the_end_of_a_sentence_is_learnt_once():
 
 def test_workers_keep_no_memory_after_a_task(spark):
     bpe.encode_documents(table(spark, noise(12))).collect()
-    key = (public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN, worker_bytes(spark))
+    key = (public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN, worker_bytes(spark, bpe.EXECUTOR_BYTES))
     held = spark.sparkContext.parallelize(range(16), 16).map(lambda _: sum(map(len, bpe._encoder(*key).memories))).collect()
     assert held == [0] * 16
