@@ -274,7 +274,7 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern, most_bytes)
         for part in slices(batches, "text"):
-            packed = encoder.encode([t.decode() for t in part.column("text").to_pylist()])
+            packed = encoder.encode(part.column("text"))
             columns = [
                 part.column("doc_id"),
                 pa.array([len(p) // 4 for p in packed], pa.int64()),

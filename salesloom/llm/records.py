@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesloom.llm.common import bounded_batches, short_lived_shuffles, stage, utf8
-from salesloom.llm.tokenizing import STOPS, PartEncoder, slices, worker_bytes
+from salesloom.llm.tokenizing import PartEncoder, slices, worker_bytes
 from salesloom.sources.storage import fresh_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -91,15 +91,17 @@ class IdEncoder(PartEncoder):
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             # In the vocabulary of a byte-level model each character stands for one byte.
             lengths[i] = len(token.encode()) if i in added else len(token)
-        super().__init__(most_bytes, lengths, self._fine())
+        super().__init__(most_bytes, lengths, self._fine(), [t.content.encode() for t in added.values()])
 
     def _fine(self) -> bool:
-        """Byte-level pre-tokens by the usual pattern, and no added token that a cut could go through."""
+        """Byte-level pre-tokens by the usual pattern, and no added token that looks beyond itself or holds a blank."""
         own = json.loads(self.tokenizer.to_str())
         first = own["pre_tokenizer"] or {}
         plain = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first["add_prefix_space"]
-        added = [t["content"] for t in own["added_tokens"]]
-        return plain and not own["normalizer"] and not any(set(t) & set(f" \n{STOPS}") for t in added)
+        apart = not any(
+            t["single_word"] or t["lstrip"] or t["rstrip"] or any(map(str.isspace, t["content"])) for t in own["added_tokens"]
+        )
+        return plain and not own["normalizer"] and apart
 
     def ids(self, texts: list[str]) -> np.ndarray:
         # One text a call: of several, the library would encode each on a thread of its own.
@@ -133,7 +135,7 @@ def write_records(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, offset, before = _encoder(path, most_bytes), 0, 0
         for part in slices(batches, "text"):
-            packed = encoder.encode([t.decode() for t in part.column("text").to_pylist()])
+            packed = encoder.encode(part.column("text"))
             framed, lines, places = [], [], []
             for doc, data in zip(part.column("doc_id").to_pylist(), packed, strict=True):
                 ids = np.append(np.frombuffer(data, "<u4"), np.uint32(end_id))

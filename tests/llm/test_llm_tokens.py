@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -224,3 +225,42 @@ def test_workers_keep_no_memory_after_a_task(spark):
     key = (public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN, worker_bytes(spark, bpe.EXECUTOR_BYTES))
     held = spark.sparkContext.parallelize(range(16), 16).map(lambda _: sum(map(len, bpe._encoder(*key).memories))).collect()
     assert held == [0] * 16
+
+
+def watched():
+    """An encoder, and the texts that it hands to the library."""
+    encoder = records.IdEncoder(public_tokenizers.path(records.TOKENIZER), 20_000)
+    given, ids = [], encoder.ids
+    encoder.ids = lambda texts: given.extend(texts) or ids(texts)
+    return encoder, given
+
+
+def test_a_word_is_learnt_once_whatever_marks_follow_it():
+    encoder, given = watched()
+    encoder.encode(["one thing*** a thing's, the thing%%%!\nno thing(s) or thing2; in thing/thing: thing", "été, l'été, un été### d'été?!"])
+    text = "\n".join(given)
+    assert text.count(" thing") == 1 and text.count(" été") == 1
+
+
+def test_words_in_use_outlive_those_that_are_not():
+    encoder, given = watched()
+    draw = random.Random(14)
+    for _ in range(50):
+        others = ["".join(draw.choices("abcdefgh", k=12)) for _ in range(30)]
+        encoder.encode([f"a thing {' '.join(others)} and another"])
+    assert sum(text.count(" thing") for text in given) == 1
+    assert sum(m.size for m in encoder.memories) <= 20_000
+
+
+STRANGE = [*"aabsStrevlmd'''  \n\n\t\r.,!?<|>%#-_019", "<|endoftext|>", *"éÉ×÷ñ\u0301\u00a0\u0085\u2003\u2028\u3000\u1680\u202f\u200b²½ªдя日🙂\x1c\x1f\0\x7f\u0661’"]
+
+
+def test_cuts_between_strange_characters_change_no_id():
+    draw = random.Random(13)
+    texts = ["".join(draw.choice(STRANGE) for _ in range(draw.choice((0, 1, 2, 3, 8, 30)))) for _ in range(4000)]
+    unpack = lambda packed: [np.frombuffer(p, "<u4").tolist() for p in packed]
+    part = pa.array(["before", *texts, "after"], pa.binary()).slice(1, len(texts))
+    encoder = records.IdEncoder(public_tokenizers.path(records.TOKENIZER), 1 << 20)
+    assert unpack(encoder.encode(part)) == [ids[:-1] for ids in library_ids(texts)]
+    ranks = bpe.read_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    assert unpack(bpe.Encoder(ranks, public_tokenizers.PATTERN).encode(part)) == expected_ids(texts)
