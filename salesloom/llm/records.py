@@ -36,9 +36,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from salesloom.llm.common import bounded_batches, short_lived_shuffles, stage, utf8
+from salesloom.llm.common import bounded_batches, stage, utf8
 from salesloom.llm.tokenizing import PartEncoder, slices, worker_bytes
-from salesloom.sources.storage import fresh_path
+from salesloom.sources.storage import fresh_path, short_lived_shuffles
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2

@@ -28,6 +28,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def same_splits(request):
+    """Some tests unset this setting of the session, which then falls back to Spark's default, not to the above."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.set("spark.sql.files.maxPartitionBytes", "4m")
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR

@@ -1,14 +1,20 @@
 """What the load leaves undone at size: no cleaning for a header, no shuffle for a lookup, no method too long."""
 
+import os
+import time
+
 import pytest
 from conftest import SF_DIR as SF
 from pyspark.sql import functions as F
-from test_plans import physical
+from test_plans import below, physical
 
 from salesloom import queries
 from salesloom.functions.numbers import number_text
+from salesloom.operators import numbering
+from salesloom.plans import views
 from salesloom.plans.warehouse import Warehouse
-from salesloom.sources import csv_files
+from salesloom.schemas import STAGING
+from salesloom.sources import csv_files, storage
 from salesloom.sources.testdata import order_lines, raw_sales, staging_sales
 
 
@@ -21,6 +27,14 @@ def shuffled(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.fixture
+def few_parts(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_broken_lines_need_no_clean_table(spark, tmp_path):
     w = Warehouse(spark, lambda: staging_sales(spark, SF), raw=lambda: raw_sales(spark, SF))
     queries._broken_lines(w, str(tmp_path / "broken"))
@@ -61,3 +75,78 @@ def test_number_texts_are_only_stripped_for_parentheses(spark):
     assert [r[0] for r in rows.collect()] == ["1234.50", "-5000.1", "7", "-3", "", "2", "13", "-8", "", None]
     tested = physical(spark.range(1).select(F.col("id").cast("string").alias("x")).select(number_text(F.col("x"))))
     assert tested.lower().index("contains(") < tested.index("trim(")
+
+
+def lines(spark, days=3, each=40):
+    """Staging rows of a few days, every tenth of them there twice."""
+    made = []
+    for i in range(days * each):
+        row = dict.fromkeys(STAGING.names, "x") | {
+            "order_id": f"O{i // 2}", "order_date": f"2020-01-{1 + i % days:02d}", "ship_date": f"2020-02-{1 + i % days:02d}",
+            "customer_name": f"c{i % 7}", "product_id": f"p{i % 5}", "sales": str(i), "quantity": "1", "discount": "0",
+            "profit": "1", "shipping_cost": "1",
+        }
+        made += [tuple(row[n] for n in STAGING.names)] * (2 if i % 10 == 0 else 1)
+    df = spark.createDataFrame(made, ", ".join(f"{n} string" for n in STAGING.names))
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in STAGING.fields]).repartition(4)
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = (name for d in manager.localDirs() for _, _, names in os.walk(d.toString()) for name in names)
+    return {name for name in found if name.startswith("shuffle_") and name.endswith(".data")}
+
+
+def freed(spark, before):
+    """No shuffle file has come since; they go a moment after the write that needed them."""
+    until = time.time() + 10
+    while (new := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    return not new
+
+
+def scratch(spark, label):
+    folder = os.path.dirname(storage.fresh_path(spark, "x"))
+    return {name for name in os.listdir(folder) if name.startswith(f"{label}-")} if os.path.isdir(folder) else set()
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, shuffled):
+    before = shuffle_files(spark)
+    grouped = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    stored = storage.materialize(grouped, "grouped")
+    assert freed(spark, before)
+    assert stored.count() == grouped.count() == 10  # both can still be read
+
+
+def test_a_load_leaves_neither_shuffles_nor_steps_behind(spark, shuffled, few_parts):
+    before = shuffle_files(spark)
+    steps = {label: scratch(spark, label) for label in ("placed", "loaded", "geography_paths", "category_paths")}
+    w = Warehouse(spark, lambda: lines(spark), ("2020-01-01", "2020-12-31"))  # given, so that nothing but writes is run
+    keys = [r["sales_id"] for r in w["fact_sales"].select("sales_id").collect()]
+    assert sorted(keys) == list(range(1, 133))
+    assert freed(spark, before)
+    assert steps == {label: scratch(spark, label) for label in steps}
+
+
+def test_equal_rows_are_spread_by_short_places(spark):
+    stored = storage.materialize(spark.range(5000).select(F.lit(1).alias("a")), "equal")
+    assert dict(numbering.file_line(stored).dtypes)["_line"] == "int"
+    keyed = numbering.number_rows(numbering.file_line(stored), ["a"], "k", spread_by=["_line"])
+    assert sorted(r["k"] for r in keyed.collect()) == list(range(1, 5001))
+
+
+def test_the_summary_shuffles_fact_rows_before_they_grow(spark, shuffled):
+    w = Warehouse(spark, lambda: lines(spark))
+    for dimension in ("customer_id", "product_id"):
+        plan = below(views.sales_summary(w), f"Inner, ({dimension}#")
+        assert "month_name" not in plan and "market_name" not in plan
+
+
+def test_the_summary_of_a_written_view_joins_nothing(spark):
+    w = Warehouse(spark, lambda: lines(spark))
+    joined = w._builders["vw_sales_summary"]()
+    assert "Join" in physical(joined)
+    w["vw_sales_full"]
+    again = w._builders["vw_sales_summary"]()
+    assert "Join" not in physical(again)
+    assert sorted(map(str, again.collect())) == sorted(map(str, joined.collect()))
