@@ -12,6 +12,7 @@ from salesloom import queries
 from salesloom.functions.numbers import number_text
 from salesloom.operators import numbering
 from salesloom.plans import views
+from salesloom.plans.store import Store
 from salesloom.plans.warehouse import Warehouse
 from salesloom.schemas import STAGING
 from salesloom.sources import csv_files, storage
@@ -128,6 +129,18 @@ def test_a_load_leaves_neither_shuffles_nor_steps_behind(spark, shuffled, few_pa
     assert steps == {label: scratch(spark, label) for label in steps}
 
 
+def test_a_store_keeps_its_own_files_only(spark, few_parts, tmp_path):
+    labels = ("batch", "fresh", "placed", "loaded", "paths", "products", "changed-days", "flat_product")
+    steps = {label: scratch(spark, label) for label in labels}
+    store = Store(spark, str(tmp_path / "store"))
+    store.load(lines(spark, 2))
+    store.load(lines(spark, 3))
+    version = store.open()
+    assert version["fact_sales"].count() == version["vw_sales_full"].count() == 132
+    assert version["fact_sales"].select("sales_id").distinct().count() == 132
+    assert steps == {label: scratch(spark, label) for label in labels}
+
+
 def test_equal_rows_are_spread_by_short_places(spark):
     stored = storage.materialize(spark.range(5000).select(F.lit(1).alias("a")), "equal")
     assert dict(numbering.file_line(stored).dtypes)["_line"] == "int"
