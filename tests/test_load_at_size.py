@@ -111,10 +111,11 @@ def scratch(spark, label):
     return {name for name in os.listdir(folder) if name.startswith(f"{label}-")} if os.path.isdir(folder) else set()
 
 
-def test_a_written_table_leaves_no_shuffle_files(spark, shuffled):
+def test_a_written_table_leaves_no_shuffle_files(spark, shuffled, tmp_path):
     before = shuffle_files(spark)
     grouped = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
     stored = storage.materialize(grouped, "grouped")
+    csv_files.write_csv(grouped, str(tmp_path / "grouped"))
     assert freed(spark, before)
     assert stored.count() == grouped.count() == 10  # both can still be read
 
@@ -163,3 +164,13 @@ def test_the_summary_of_a_written_view_joins_nothing(spark):
     again = w._builders["vw_sales_summary"]()
     assert "Join" not in physical(again)
     assert sorted(map(str, again.collect())) == sorted(map(str, joined.collect()))
+
+
+def test_a_compressed_csv_holds_the_same_rows(spark, tmp_path):
+    rows = [(f"O{i}", f" a,b \"{i}\" ") for i in range(100)]
+    df = spark.createDataFrame(rows, "order_id string, product_name string")
+    csv_files.write_csv(df, str(tmp_path / "z"), compression="gzip")
+    assert any(name.endswith(".csv.gz") for name in os.listdir(tmp_path / "z"))
+    found = csv_files.read_raw_csv(spark, str(tmp_path / "z"), df.schema, keep_malformed=True)
+    assert csv_files.load_diagnostics(found, df.schema).first()["malformed_lines"] == 0
+    assert sorted(tuple(r)[:2] for r in found.collect()) == sorted(rows)
